@@ -3,12 +3,13 @@
 For each entity row: the source row with the same key that is newest at the
 entity's time, not older than the time-to-live; ties go to the newest ``created``.
 
-Plan.  Both sides are stacked and a running maximum over time carries the newest
-source row to the entity rows.  A window by key alone would put a hot key into one
-task, so time is cut into slices and the window runs by (key, slice).  What a slice
-inherits from earlier ones is one source row per key, found from per-slice maxima
-that are combined before the shuffle; a hot key contributes one row per slice there.
-Neither side is copied, so the heavy shuffle carries every row once.
+Both sides are stacked and a running maximum over time carries the newest source row
+to the entity rows: one shuffle in which every row travels once.  A window by key
+alone would put all rows of a key into one task, so the heaviest key is measured
+first.  When it is too heavy, time is cut into slices and the window runs by (key,
+slice).  What a slice inherits from earlier ones is one source row per key, found from
+per-slice maxima that are combined before their shuffle; the heaviest key contributes
+one row per slice there.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _AT, _SLICE, _NEWEST, _ENTITY = "__at", "__slice", "__newest", "__entity"
 _FIRST_INSTANT = "1970-01-01 00:00:00"
+ROWS_PER_KEY = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -33,16 +35,45 @@ class Lookup:
     ttl: timedelta | None = None
 
 
-def _slice_of(at: Column, width: str, time_type: str) -> Column:
-    """Start of the slice; rows without a time go to the first one."""
-    filled = F.coalesce(at, F.lit(_FIRST_INSTANT).cast(time_type))
-    return F.window(filled, width).getField("start")
+def slice_width_for(rows: DataFrame, keys: list[str], at: str, rows_per_key: int) -> str | None:
+    """A width that cuts the heaviest key into slices of a quarter of the limit.
 
+    None when no key exceeds the limit.  The counts are combined before the shuffle and
+    one row comes back.
+    """
+    per_key = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.timestamp_diff("SECOND", F.min(at), F.max(at)).alias("span")
+    )
+    heaviest = per_key.agg(F.max(F.struct("n", F.coalesce("span", F.lit(0))))).first()[0]
+    if heaviest is None or heaviest[0] <= rows_per_key:
+        return None
+    rows_in_key, seconds = heaviest
+    return f"{max(1, seconds * rows_per_key // (4 * rows_in_key))} seconds"
 
-def _not_older(feature_time: Column, entity_time: Column, ttl: timedelta | None) -> Column:
-    if ttl is None:
-        return F.lit(True)
-    return feature_time + F.lit(ttl) >= entity_time
+
+def _sliced(rows: DataFrame, width: str, time_type: str) -> DataFrame:
+    """Adds the start of the slice; rows without a time go to the first one."""
+    filled = F.coalesce(F.col(_AT), F.lit(_FIRST_INSTANT).cast(time_type))
+    return rows.withColumn(_SLICE, F.window(filled, width).getField("start"))
+
+
+def _inherited(feature_rows: DataFrame, entity_rows: DataFrame, keys: list[str]) -> DataFrame:
+    """For each slice with entity rows, the newest source row of the slices before it."""
+    per_slice = (
+        feature_rows.select(*keys, _SLICE, _NEWEST, F.lit(False).alias("asked"))
+        .unionByName(
+            entity_rows.select(*keys, _SLICE, F.lit(True).alias("asked")),
+            allowMissingColumns=True,
+        )
+        .groupBy(*keys, _SLICE)
+        .agg(F.max(_NEWEST).alias(_NEWEST), F.bool_or("asked").alias("asked"))
+    )
+    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        per_slice.withColumn(_NEWEST, F.max(_NEWEST).over(earlier))
+        .filter(F.col("asked") & F.col(_NEWEST).isNotNull())
+        .select(*keys, _SLICE, F.col(_SLICE).alias(_AT), _NEWEST)
+    )
 
 
 def point_in_time_join(
@@ -55,59 +86,49 @@ def point_in_time_join(
     source_time: str = "event_timestamp",
     created: str | None = "created",
     as_known: bool = False,
-    slice_width: str = "1 hour",
+    slice_width: str | None = None,
+    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """All columns of ``entities`` plus those of the lookups, null when none applies.
 
     ``as_known`` hides a source row until it was created, for corrections that were
-    known only after the time they describe.  ``slice_width`` bounds how much of one
-    key a task sorts; make it smaller when one key is dense in time.
+    known only after the time they describe.  Give ``slice_width``, such as
+    ``"1 hour"``, to slice without measuring the keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
     needed = sorted({c for lookup in lookups for c in lookup.columns.values()})
-    ranked = [F.col(source_time).alias("at")]
-    if created is not None:
-        ranked.append(F.col(created).alias("created"))
-    visible = F.greatest(source_time, created) if as_known and created else F.col(source_time)
     time_type = entities.schema[entity_time].dataType.simpleString()
     if source.schema[source_time].dataType.simpleString() != time_type:
         raise ValueError(f"{entity_time} and {source_time} must have one timestamp type")
 
-    feature_rows = (
-        source.dropna("any", subset=[*keys, source_time])
-        .select(
-            *keys,
-            visible.alias(_AT),
-            F.struct(*ranked, F.struct(*needed).alias("row")).alias(_NEWEST),
-        )
-        .withColumn(_SLICE, _slice_of(F.col(_AT), slice_width, time_type))
+    ranked = [F.col(source_time).alias("at")]
+    if created is not None:
+        ranked.append(F.col(created).alias("created"))
+    visible = F.greatest(source_time, created) if as_known and created else F.col(source_time)
+    feature_rows = source.dropna("any", subset=[*keys, source_time]).select(
+        *keys,
+        visible.alias(_AT),
+        F.struct(*ranked, F.struct(*needed).alias("row")).alias(_NEWEST),
     )
     entity_rows = entities.select(
         *keys, F.col(entity_time).alias(_AT), F.struct("*").alias(_ENTITY)
-    ).withColumn(_SLICE, _slice_of(F.col(_AT), slice_width, time_type))
-
-    # What each slice that holds entity rows inherits from the slices before it.
-    per_slice = (
-        feature_rows.select(*keys, _SLICE, _AT, _NEWEST, F.lit(False).alias("asked"))
-        .unionByName(
-            entity_rows.select(*keys, _SLICE, F.lit(True).alias("asked")),
-            allowMissingColumns=True,
-        )
-        .groupBy(*keys, _SLICE)
-        .agg(F.max(_NEWEST).alias(_NEWEST), F.bool_or("asked").alias("asked"))
-    )
-    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    inherited = (
-        per_slice.withColumn(_NEWEST, F.max(_NEWEST).over(earlier))
-        .filter(F.col("asked") & F.col(_NEWEST).isNotNull())
-        .select(*keys, _SLICE, F.col(_SLICE).alias(_AT), _NEWEST)
     )
 
+    if slice_width is None:
+        times = feature_rows.select(*keys, _AT).unionByName(entity_rows.select(*keys, _AT))
+        slice_width = slice_width_for(times, keys, _AT, rows_per_key)
+    if slice_width is None:
+        group, stacked = keys, feature_rows
+    else:
+        group = [*keys, _SLICE]
+        feature_rows = _sliced(feature_rows, slice_width, time_type)
+        entity_rows = _sliced(entity_rows, slice_width, time_type)
+        stacked = feature_rows.unionByName(_inherited(feature_rows, entity_rows, keys))
+
     # Rows at the same instant are peers, so a feature at the entity's time counts.
-    so_far = Window.partitionBy(*keys, _SLICE).orderBy(_AT)
+    so_far = Window.partitionBy(*group).orderBy(_AT)
     joined = (
-        feature_rows.unionByName(inherited)
-        .unionByName(entity_rows, allowMissingColumns=True)
+        stacked.unionByName(entity_rows, allowMissingColumns=True)
         .withColumn(_NEWEST, F.max(_NEWEST).over(so_far))
         .filter(F.col(_ENTITY).isNotNull())
     )
@@ -117,3 +138,7 @@ def point_in_time_join(
         for name, column in lookup.columns.items():
             picked.append(F.when(fresh, F.col(f"{_NEWEST}.row.{column}")).alias(name))
     return joined.select(f"{_ENTITY}.*", *picked)
+
+
+def _not_older(feature_time: Column, entity_time: Column, ttl: timedelta | None) -> Column:
+    return F.lit(True) if ttl is None else feature_time + F.lit(ttl) >= entity_time

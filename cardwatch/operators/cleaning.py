@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardwatch.functions.parsing import typed
 from cardwatch.schema import COMMENT_MARK, CORRUPT, TRANSACTION_COLUMNS
@@ -43,7 +43,12 @@ def fraud_names_scenario() -> Column:
 
 
 def typed_projection(raw: DataFrame) -> DataFrame:
-    return raw.select([typed(c, F.col(c)) for c in TRANSACTION_COLUMNS])
+    """The nine fields as their types.
+
+    ``inline`` instead of a plain projection keeps later filters above the casts;
+    pushed below, each condition would parse its field again.
+    """
+    return raw.select(F.inline(F.array(F.struct([typed(c, F.col(c)) for c in TRANSACTION_COLUMNS]))))
 
 
 def drop_malformed(raw: DataFrame, strict: bool = False) -> DataFrame:
@@ -91,12 +96,11 @@ def deduplicate(
 ) -> DataFrame:
     """One row per key: the first by ``order``, then by every other column.
 
-    The minimum is taken before the shuffle as well, so an id that holds a large
-    share of the rows sends one row per task.
+    Spark applies a first-row limit before the shuffle as well, so an id that holds a
+    large share of the rows sends one row per task.
     """
-    ranked = earliest_first(df.columns, key, order)
-    first = F.min(F.struct(*ranked)).alias("first")
-    return df.groupBy(key).agg(first).select(key, "first.*").select(df.columns)
+    ranked = Window.partitionBy(key).orderBy(*earliest_first(df.columns, key, order))
+    return df.withColumn("__place", F.row_number().over(ranked)).filter("__place = 1").drop("__place")
 
 
 def clean(raw: DataFrame, strict: bool = False) -> DataFrame:

@@ -37,11 +37,15 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def parse_csv_lines(lines: DataFrame, column: str = "value", keep: bool = False) -> DataFrame:
-    """``keep`` adds the text itself as ``line``."""
+    """Parse text lines as CSV rows; ``keep`` adds the text itself as ``line``.
+
+    The row comes out of ``inline`` rather than a projection: filters on its fields
+    then stay above the parser, which a pushed filter would call once per condition.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_csv(F.col(column), RAW_SCHEMA_WITH_CORRUPT.toDDL(), options)
+    row = F.from_csv(F.col(column), RAW_SCHEMA_WITH_CORRUPT.toDDL(), options)
     line = [F.col(column).alias("line")] if keep else []
-    return lines.select(parsed.alias("row"), *line).select("row.*", *(["line"] if keep else []))
+    return lines.select(*line, F.inline(F.array(row)))
 
 
 def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
