@@ -1,5 +1,5 @@
 """Card-transaction fraud analytics as Spark jobs.
 
-Every operator takes and returns DataFrames.  Nothing in this package starts a
-session or opens a connection of its own.
+Every operator takes and returns DataFrames.  Only the command line
+(``python -m cardwatch``) starts a session.
 """

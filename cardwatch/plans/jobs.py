@@ -151,6 +151,7 @@ def ab_test(
     label: str = "fraud",
     iterations: int = 1000,
     seed: int = 42,
+    report_path: str | None = None,
 ) -> DataFrame:
     """Compare, decide, report, and promote when the challenger is better.
 
@@ -170,9 +171,9 @@ def ab_test(
     cells = joint_cells(scored, "label", "champion_call", "challenger_call")
     decided = abtest.decide(abtest.significance(abtest.bootstrap_f1(cells, iterations, seed)))
     names = {side: f"models:/{model_name}@{side}" for side in abtest.SIDES}
-    report = f"{scratch_path(spark, 'report')}"
-    tables.write_report(abtest.report(metrics, decided, names), report)
-    written = spark.read.schema(REPORT_SCHEMA).json(report)
+    report_path = report_path or scratch_path(spark, "report")
+    tables.write_report(abtest.report(metrics, decided, names), report_path)
+    written = spark.read.schema(REPORT_SCHEMA).json(report_path)
     registry.apply_decision(spark, root, model_name, written)
     return written
 
