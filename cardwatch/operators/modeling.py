@@ -122,16 +122,23 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-def evaluate(scored: DataFrame, label: str) -> DataFrame:
-    """One row: exact AUC, accuracy and class-weighted F1 of a scored table."""
-    rows = scored.select(
+def calls(scored: DataFrame, label: str) -> DataFrame:
+    """What evaluation needs of a scored table: ``label``, ``called`` and ``score``."""
+    return scored.select(
         F.col(label).cast("int").alias("label"),
         F.col("prediction").cast("int").alias("called"),
         fraud_probability(F.col("probability")).alias("score"),
     )
+
+
+def evaluate(made: DataFrame) -> DataFrame:
+    """One row: exact AUC, accuracy and class-weighted F1 of :func:`calls`.
+
+    Reads its input several times; write the calls first when the model is costly.
+    """
     one = F.lit(1).alias("one")
-    by_count = metric_table(rows, "label", "called").select("accuracy", "f1_weighted", one)
-    areas = area_under_roc(rows, "score", "label").select("auc", one)
+    by_count = metric_table(made, "label", "called").select("accuracy", "f1_weighted", one)
+    areas = area_under_roc(made, "score", "label").select("auc", one)
     return areas.join(by_count, "one").select("auc", "accuracy", F.col("f1_weighted").alias("f1"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardwatch.operators.confusion import confusion, false_positive_rate, recall
 
@@ -60,43 +60,36 @@ def quality_alerts(
 ) -> DataFrame:
     """Every broken limit: per day FPR, recall and fraud share, per month the loss.
 
-    The table is read once.  Days are few whatever its size, and months come from
-    the days; the daily result is small enough to compute for both branches.
+    One scan: the months are summed over the daily rows, of which there are few
+    whatever the size of the table.
     """
-    days = daily_cells(df, time, label, prediction, amount)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    total = tp + fp + fn + tn
+    month = Window.partitionBy(F.date_format("day", "yyyy-MM"))
+    days = daily_cells(df, time, label, prediction, amount).select(
+        "*",
+        F.sum("missed_loss").over(month).alias("loss"),
+        (F.col("day") == F.min("day").over(month)).alias("opens_month"),
+    )
 
-    def check(metric: str, value, limit: float, broken):
+    def check(pattern: str, metric: str, value: Column, limit: float, broken: Column) -> Column:
         return F.struct(
+            F.date_format("day", pattern).alias("period"),
             F.lit(metric).alias("metric"),
             value.cast("double").alias("value"),
             F.lit(limit).alias("limit"),
             broken.alias("broken"),
         )
 
-    fpr, hit = false_positive_rate(fp, tn), recall(tp, fn)
-    per_100 = (tp + fn) / total * 100
-    daily = days.select(
-        F.date_format("day", "yyyy-MM-dd").alias("period"),
-        F.inline(
-            F.array(
-                check("fpr", fpr, MAX_FPR, fpr > MAX_FPR),
-                check("recall", hit, MIN_RECALL, (tp + fn > 0) & (hit < MIN_RECALL)),
-                check("fraud_per_100", per_100, MAX_FRAUD_PER_100, per_100 > MAX_FRAUD_PER_100),
-            )
-        ),
-    )
-    loss = F.col("missed_loss")
-    monthly = (
-        days.groupBy(F.date_format("day", "yyyy-MM").alias("period"))
-        .agg(F.sum("missed_loss").alias("missed_loss"))
-        .select(
-            "period",
-            F.inline(F.array(check("missed_loss", loss, MAX_MONTHLY_LOSS, loss > MAX_MONTHLY_LOSS))),
-        )
+    day, fpr, hit, loss = "yyyy-MM-dd", false_positive_rate(fp, tn), recall(tp, fn), F.col("loss")
+    per_100 = (tp + fn) / (tp + fp + fn + tn) * 100
+    checks = (
+        check(day, "fpr", fpr, MAX_FPR, fpr > MAX_FPR),
+        check(day, "recall", hit, MIN_RECALL, (tp + fn > 0) & (hit < MIN_RECALL)),
+        check(day, "fraud_per_100", per_100, MAX_FRAUD_PER_100, per_100 > MAX_FRAUD_PER_100),
+        check("yyyy-MM", "missed_loss", loss, MAX_MONTHLY_LOSS,
+              F.col("opens_month") & (loss > MAX_MONTHLY_LOSS)),
     )
-    return daily.unionByName(monthly).filter("broken").drop("broken")
+    return days.select(F.inline(F.array(*checks))).filter("broken").drop("broken")
 
 
 def throughput_profile(df: DataFrame, time: str) -> DataFrame:

@@ -117,9 +117,10 @@ def train(
     )
     path = f"{root}/models/{run_id}"
     modeling.save_model(tuned.bestModel, path)
-    metrics = modeling.evaluate(modeling.score(tuned.bestModel, test_part), label)
+    scored = scratch_path(spark, "test-calls")
+    tables.write_table(modeling.calls(modeling.score(tuned.bestModel, test_part), label), scored)
     measured = f"{root}/metrics/{run_id}"
-    tables.write_table(metrics, measured)
+    tables.write_table(modeling.evaluate(spark.read.parquet(scored)), measured)
     registry.register(spark, root, model_name, run_id, path, spark.read.parquet(measured))
     return spark.read.parquet(measured)
 

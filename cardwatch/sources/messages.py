@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -32,8 +34,8 @@ def read_message_stream(
         return stream.select(F.col("value").cast("string").alias("value"), "offset")
     stream = reader.load(path)
     if start == LATEST:
-        now = spark.range(1).select(F.current_timestamp()).first()[0]
-        stream = stream.filter(F.col("_metadata.file_modification_time") > F.lit(now))
+        now = F.timestamp_millis(F.lit(int(time.time() * 1000)))
+        stream = stream.filter(F.col("_metadata.file_modification_time") > now)
     return stream.select("value", F.lit(None).cast("bigint").alias("offset"))
 
 

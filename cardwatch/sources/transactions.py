@@ -62,7 +62,7 @@ def split_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     for position, name in enumerate(TRANSACTION_COLUMNS):
         field = F.get("fields", F.lit(position))
         picked.append(field.alias(name) if name == "tx_datetime" else typed(name, field))
-    return fields.select(picked)
+    return fields.select(F.inline(F.array(F.struct(*picked))))
 
 
 def read_headed_csv(

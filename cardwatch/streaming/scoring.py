@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 from operator import or_
@@ -98,7 +99,7 @@ def start_scoring(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        started = spark.range(1).select(F.current_timestamp()).first()[0]
+        started = time.time()
         folder = batch_folder(f"{out}/messages", batch_id)
         score_messages(batch, model_for_batch(), schema, alias).write.mode(
             "overwrite"
@@ -107,7 +108,7 @@ def start_scoring(
         written.agg(
             F.count_if(F.col("status") == SCORED).alias("processed"),
             F.count_if(F.col("status") == REJECTED).alias("errors"),
-            F.lit(started).alias("started_at"),
+            F.timestamp_millis(F.lit(int(started * 1000))).alias("started_at"),
             F.current_timestamp().alias("ended_at"),
         ).write.mode("overwrite").parquet(batch_folder(f"{out}/progress", batch_id))
 

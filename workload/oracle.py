@@ -298,7 +298,7 @@ BODIES = {
     "scan_raw_csv": "SELECT * FROM raw_fields UNION ALL SELECT '#transaction_id', "
                     + ", ".join(f"'{c}'" for c in _NULLS[1:]),
     "scan_text_lines": "SELECT * FROM profiled",
-    "scan_header_csv": f"SELECT {_TX}, tx_fraud AS fraud FROM tx",
+    "scan_header_csv": f"SELECT {_TX}, CAST(tx_fraud AS BIGINT) AS fraud FROM tx",
     "scan_feature_source": "SELECT * FROM driver_stats",
     "entity_rows_literal": """
         SELECT e.driver_id, e.event_timestamp, e.satisfaction,

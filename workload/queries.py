@@ -73,7 +73,9 @@ def scan_header_csv(spark, sf):
     path = scratch_path(spark, "headed-csv")
     views.training(views.tx(spark, sf)).write.option("header", True).csv(path)
     table = transactions.read_headed_csv(spark, path)
-    return table.withColumn("tx_datetime", F.col("tx_datetime").cast("timestamp_ntz"))
+    # The inferred integer width follows the data; the time is inferred with a zone.
+    wide = [F.col(c).cast("bigint").alias(c) for c, t in table.dtypes if t in ("int", "bigint")]
+    return table.select(*wide, F.col("tx_datetime").cast("timestamp_ntz"), "tx_amount")
 
 
 @query
@@ -218,9 +220,7 @@ def model_load_by_alias(spark, sf):
     table = views.training(views.tx(spark, sf))
     path, root = scratch_path(spark, "model"), scratch_path(spark, "registry")
     modeling.save_model(_fit(table, "lr"), path)
-    metrics = modeling.evaluate(
-        modeling.load_model(path).transform(views.test_part(table)), "fraud"
-    )
+    metrics = _evaluated(spark, modeling.load_model(path), table)
     # Registered from one written row: computed twice, the metrics might differ in the
     # last digit and the versions would not be equal.
     tables.write_table(metrics, f"{root}/metrics")
@@ -612,12 +612,18 @@ def _fit(table: DataFrame, kind: str) -> PipelineModel:
 def _trained(kind: str) -> Query:
     def run(spark, sf):
         table = views.training(views.tx(spark, sf))
-        model = _fit(table, kind)
-        return modeling.evaluate(modeling.score(model, views.test_part(table)), "fraud")
+        return _evaluated(spark, _fit(table, kind), table)
 
     return run
 
 
+def _evaluated(spark, model: PipelineModel, table: DataFrame) -> DataFrame:
+    path = scratch_path(spark, "calls")
+    scored = modeling.score(model, views.test_part(table))
+    tables.write_table(modeling.calls(scored, "fraud"), path)
+    return modeling.evaluate(spark.read.parquet(path))
+
+
 QUERIES["train_forest"] = _trained("rf")
 QUERIES["train_logistic"] = _trained("lr")
 

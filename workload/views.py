@@ -83,11 +83,10 @@ def tx(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """``tx_raw``: the text file with one header, repeated ids and seven kinds of fault."""
-    rows = tx(spark, sf)
-    repeated = F.when(F.col("transaction_id") % 103 == 0, F.round(F.col("tx_amount") + 1, 2))
-    amounts = F.array_compact(F.array(F.col("tx_amount"), repeated))
-    rows = rows.withColumn("amount", F.explode(amounts))
+    """``tx_raw``: the text file with one header, repeated ids and seven kinds of fault.
+
+    The lines come out of ``explode``, so a filter on them does not build them twice.
+    """
     fault = F.col("transaction_id") % 101
 
     def field(value: Column, *faults: tuple[int, str]) -> Column:
@@ -96,20 +95,25 @@ def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
             text = F.when(fault == remainder, bad).otherwise(text)
         return text
 
-    line = F.concat_ws(
-        ",",
-        field(F.col("transaction_id"), (1, "abc")),
-        field(F.col("tx_datetime"), (3, "2019-13-45 00:00:00")),
-        field(F.col("customer_id"), (6, "")),
-        field(F.col("terminal_id")),
-        field(F.col("amount"), (2, "-5.0")),
-        field(F.col("tx_time_seconds"), (7, "-1")),
-        field(F.col("tx_time_days")),
-        field(F.col("tx_fraud"), (4, "2"), (5, "1")),
-        field(F.col("tx_fraud_scenario"), (5, "0")),
-    )
+    def line(amount: Column) -> Column:
+        return F.concat_ws(
+            ",",
+            field(F.col("transaction_id"), (1, "abc")),
+            field(F.col("tx_datetime"), (3, "2019-13-45 00:00:00")),
+            field(F.col("customer_id"), (6, "")),
+            field(F.col("terminal_id")),
+            field(amount, (2, "-5.0")),
+            field(F.col("tx_time_seconds"), (7, "-1")),
+            field(F.col("tx_time_days")),
+            field(F.col("tx_fraud"), (4, "2"), (5, "1")),
+            field(F.col("tx_fraud_scenario"), (5, "0")),
+        )
+
+    amount = F.col("tx_amount")
+    repeated = F.when(F.col("transaction_id") % 103 == 0, line(F.round(amount + 1, 2)))
+    lines = F.explode(F.array_compact(F.array(line(amount), repeated)))
     header = spark.range(1).select(F.lit("#" + ",".join(TRANSACTION_COLUMNS)).alias("value"))
-    return header.unionByName(rows.select(line.alias("value")))
+    return header.unionByName(tx(spark, sf).select(lines.alias("value")))
 
 
 def stats_from(rows: DataFrame) -> DataFrame:
