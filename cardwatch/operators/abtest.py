@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from cardwatch.functions.stats import cohens_d, welch
 from cardwatch.operators.confusion import accuracy, confusion, f1_weighted
 from cardwatch.operators.ranking import area_under_roc
+from cardwatch.operators.rows import side_by_side
 
 SIDES = ("champion", "challenger")
 PROMOTE, KEEP = "PROMOTE", "KEEP_CHAMPION"
@@ -47,10 +48,7 @@ def compare_metrics(
     areas = area_under_roc(by_side, "score", label, ("side",)).agg(
         *[F.max(F.when(F.col("side") == side, F.col("auc"))).alias(f"{side}_auc") for side in SIDES]
     )
-    # Both sides of this join are aggregates of exactly one row.
-    one = F.lit(1).alias("one")
-    joined = counted.select("*", one).join(areas.select("*", one), "one").drop("one")
-    return joined.select(
+    return side_by_side(counted, areas).select(
         *[f"{side}_{metric}" for side in SIDES for metric in ("auc", "f1", "accuracy")],
         "test_set_size",
     )
@@ -158,24 +156,19 @@ def decide(tested: DataFrame) -> DataFrame:
 
 def report(metrics: DataFrame, decided: DataFrame, names: dict[str, str]) -> DataFrame:
     """The sixteen report fields from one row of metrics and one row of the test."""
-    one = F.lit(1).alias("one")
     tested = decided.select(
-        "f1_improvement", "p_value", "effect_size", "is_significant", "decision", one
+        "f1_improvement", "p_value", "effect_size", "is_significant", "decision"
     )
-    return (
-        metrics.select("*", one)
-        .join(tested, "one")
-        .select(
-            *[f"{side}_{metric}" for side in SIDES for metric in ("auc", "f1", "accuracy")],
-            "f1_improvement",
-            "p_value",
-            "effect_size",
-            "is_significant",
-            "decision",
-            "test_set_size",
-            F.lit(names.get("run_id")).cast("string").alias("run_id"),
-            F.lit(names["champion"]).alias("champion_model"),
-            F.lit(names["challenger"]).alias("challenger_model"),
-            F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        )
+    return side_by_side(metrics, tested).select(
+        *[f"{side}_{metric}" for side in SIDES for metric in ("auc", "f1", "accuracy")],
+        "f1_improvement",
+        "p_value",
+        "effect_size",
+        "is_significant",
+        "decision",
+        "test_set_size",
+        F.lit(names.get("run_id")).cast("string").alias("run_id"),
+        F.lit(names["champion"]).alias("champion_model"),
+        F.lit(names["challenger"]).alias("challenger_model"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
     )

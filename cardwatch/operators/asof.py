@@ -14,11 +14,14 @@ one row per slice there.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cardwatch.operators.latest import latest_per_key, lookup_latest
+
 _AT, _SLICE, _NEWEST, _ENTITY = "__at", "__slice", "__newest", "__entity"
 _FIRST_INSTANT = "1970-01-01 00:00:00"
 ROWS_PER_KEY = 4_000_000
@@ -48,7 +51,7 @@ def slice_width_for(rows: DataFrame, keys: list[str], at: str, rows_per_key: int
     if heaviest is None or heaviest[0] <= rows_per_key:
         return None
     rows_in_key, seconds = heaviest
-    return f"{max(1, seconds * rows_per_key // (4 * rows_in_key))} seconds"
+    return f"{max(1, 1000 * seconds * rows_per_key // (4 * rows_in_key))} milliseconds"
 
 
 def _sliced(rows: DataFrame, width: str, time_type: str) -> DataFrame:
@@ -132,13 +135,53 @@ def point_in_time_join(
         .withColumn(_NEWEST, F.max(_NEWEST).over(so_far))
         .filter(F.col(_ENTITY).isNotNull())
     )
-    picked = []
-    for lookup in lookups:
-        fresh = _not_older(F.col(f"{_NEWEST}.at"), F.col(_AT), lookup.ttl)
-        for name, column in lookup.columns.items():
-            picked.append(F.when(fresh, F.col(f"{_NEWEST}.row.{column}")).alias(name))
+    picked = _pick(lookups, F.col(_NEWEST).getField("at"), F.col(_AT),
+                   lambda c: F.col(f"{_NEWEST}.row.{c}"))
     return joined.select(f"{_ENTITY}.*", *picked)
 
 
-def _not_older(feature_time: Column, entity_time: Column, ttl: timedelta | None) -> Column:
-    return F.lit(True) if ttl is None else feature_time + F.lit(ttl) >= entity_time
+def join_at(
+    entities: DataFrame,
+    source: DataFrame,
+    lookups: list[Lookup],
+    key: str | list[str],
+    instant,
+    *,
+    source_time: str = "event_timestamp",
+    created: str = "created",
+    as_known: bool = False,
+) -> DataFrame:
+    """The same for entity rows that all ask for one instant, as batch scoring does.
+
+    One instant needs no window: only the source rows inside the longest time-to-live
+    are read, one per key is left, and the entity rows are joined to it.  Spark splits
+    a key with many entity rows over several tasks of that join.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    now = F.lit(instant).cast(source.schema[source_time].dataType)
+    recent = source.dropna("any", subset=keys).filter(F.col(source_time) <= now)
+    spans = [lookup.ttl for lookup in lookups]
+    if None not in spans:
+        recent = recent.filter(F.col(source_time) >= now - F.lit(max(spans)))
+    if as_known:
+        recent = recent.filter(F.col(created) <= now)
+    needed = sorted({c for lookup in lookups for c in lookup.columns.values()})
+    newest = latest_per_key(
+        recent.select(*keys, source_time, created, *needed), keys, time=source_time, created=created
+    )
+    picked = _pick(lookups, F.col(source_time), now, F.col)
+    names = [name for lookup in lookups for name in lookup.columns]
+    return lookup_latest(entities, newest.select(*keys, *picked), keys, names)
+
+
+def _pick(
+    lookups: list[Lookup], feature_time: Column, entity_time: Column, value: Callable[[str], Column]
+) -> list[Column]:
+    """The looked-up columns, each null where its row is older than its time-to-live."""
+    picked = []
+    for lookup in lookups:
+        fresh = F.lit(True)
+        if lookup.ttl is not None:
+            fresh = feature_time + F.lit(lookup.ttl) >= entity_time
+        picked += [F.when(fresh, value(c)).alias(name) for name, c in lookup.columns.items()]
+    return picked

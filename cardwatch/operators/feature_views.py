@@ -13,7 +13,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardwatch.operators.asof import Lookup, point_in_time_join
+from cardwatch.operators.asof import Lookup, join_at, point_in_time_join
 from cardwatch.operators.latest import lookup_latest
 
 
@@ -146,7 +146,11 @@ def historical_features(
             Lookup({_held(v, c): c for c in sorted(columns)}, catalog.views[v].ttl)
             for v, columns in views.items()
         ]
-        joined = point_in_time_join(joined, sources[source], lookups, catalog.key, **options)
+        sides = (joined, sources[source], lookups, catalog.key)
+        if as_of is None:
+            joined = point_in_time_join(*sides, **options)
+        else:
+            joined = join_at(*sides, as_of, **options)
     outputs = catalog.outputs(pairs, entities.columns, full_names)
     return joined.select(*entities.columns, *outputs)
 

@@ -54,4 +54,5 @@ def lookup_latest(
     its statistics are below the threshold and splits a skewed request key otherwise.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return requests.join(latest.select(*keys, *features), keys, "left")
+    joined = requests.join(latest.select(*keys, *features), keys, "left")
+    return joined.select(*requests.columns, *features)

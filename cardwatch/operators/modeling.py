@@ -13,6 +13,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from cardwatch.operators.confusion import metric_table
 from cardwatch.operators.ranking import area_under_roc
+from cardwatch.operators.rows import side_by_side
 
 SEED = 42
 
@@ -136,10 +137,9 @@ def evaluate(made: DataFrame) -> DataFrame:
 
     Reads its input several times; write the calls first when the model is costly.
     """
-    one = F.lit(1).alias("one")
-    by_count = metric_table(made, "label", "called").select("accuracy", "f1_weighted", one)
-    areas = area_under_roc(made, "score", "label").select("auc", one)
-    return areas.join(by_count, "one").select("auc", "accuracy", F.col("f1_weighted").alias("f1"))
+    by_count = metric_table(made, "label", "called")
+    both = side_by_side(area_under_roc(made, "score", "label"), by_count)
+    return both.select("auc", "accuracy", F.col("f1_weighted").alias("f1"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

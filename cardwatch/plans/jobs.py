@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from cardwatch.operators import abtest, cleaning, modeling, quality, splits
 from cardwatch.operators.champions import CHALLENGER, CHAMPION
 from cardwatch.operators.confusion import joint_cells
+from cardwatch.operators.rows import side_by_side
 from cardwatch.plans import registry
 from cardwatch.schema import TRANSACTION_COLUMNS
 from cardwatch.session import scratch_path
@@ -89,9 +90,7 @@ def profile_files(spark: SparkSession, source: str, rejects: str | None = None)
     rows = read_text_lines(spark, source)
     if rejects is not None:
         tables.write_rejects(cleaning.quarantine(rows), rejects)
-    one = F.lit(1).alias("one")
-    counts = quality.profile(rows).select("*", one)
-    return counts.join(quality.duplicate_ids(rows).select("*", one), "one").drop("one")
+    return side_by_side(quality.profile(rows), quality.duplicate_ids(rows))
 
 
 def train(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardwatch.operators.champions import CHALLENGER, CHAMPION, promote
 from cardwatch.operators.modeling import load_model
+from cardwatch.operators.rows import side_by_side
 from cardwatch.sinks.tables import publish, read_current
 
 VERSION_SCHEMA = (
@@ -34,22 +35,17 @@ def register(
         F.coalesce(F.max("version"), F.lit(0)).alias("last"),
         F.max(F.when(F.col("alias") == CHAMPION, F.col("auc"))).alias("best"),
     )
-    one = F.lit(1).alias("one")
     wins = F.col("best").isNull() | (F.col("auc") > F.col("best"))
-    added = (
-        metrics.select("auc", "accuracy", "f1", one)
-        .join(state.select("*", one), "one")
-        .select(
-            F.lit(model_name).alias("model_name"),
-            (F.col("last") + 1).alias("version"),
-            F.lit(run_id).alias("run_id"),
-            F.lit(path).alias("path"),
-            "auc",
-            "accuracy",
-            "f1",
-            F.when(wins, CHAMPION).otherwise(CHALLENGER).alias("alias"),
-            F.lit(None).cast("string").alias("tag"),
-        )
+    added = side_by_side(metrics.select("auc", "accuracy", "f1"), state).select(
+        F.lit(model_name).alias("model_name"),
+        (F.col("last") + 1).alias("version"),
+        F.lit(run_id).alias("run_id"),
+        F.lit(path).alias("path"),
+        "auc",
+        "accuracy",
+        "f1",
+        F.when(wins, CHAMPION).otherwise(CHALLENGER).alias("alias"),
+        F.lit(None).cast("string").alias("tag"),
     )
     taken = added.select("model_name", F.col("alias").alias("taken"))
     freed = known.join(taken, "model_name", "left").withColumn(

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.operators.asof import Lookup, point_in_time_join
+from cardwatch.operators.asof import Lookup, join_at, point_in_time_join
 from cardwatch.operators.latest import latest_per_key, lookup_latest, materialize
 
 DAY = timedelta(days=1)
@@ -132,3 +132,28 @@ def test_materializing_in_steps_equals_one_step(spark):
     step = materialize(source, None, "k", end=at(8))
     step = materialize(source, step, "k", start=at(8), end=at(20))
     assert sorted(map(str, whole.collect())) == sorted(map(str, step.collect()))
+
+
+@pytest.mark.parametrize("as_known", [False, True])
+def test_one_instant_equals_the_general_join(spark, as_known):
+    draw = random.Random(8)
+    rows = [(draw.randrange(9), at(draw.randrange(24)), at(draw.randrange(24)), i) for i in range(200)]
+    source = spark.createDataFrame(rows, SOURCE)
+    now = at(12, day=5)
+    entities = spark.createDataFrame([(i % 12, now, i) for i in range(60)] + [(None, now, 99)], ENTITY)
+    lookups = [Lookup({"a": "v"}, timedelta(hours=2)), Lookup({"b": "v"}, timedelta(hours=6))]
+    for asked in (lookups, [*lookups, Lookup({"c": "v"})]):
+        general = point_in_time_join(entities, source, asked, "k", as_known=as_known)
+        direct = join_at(entities, source, asked, "k", now, as_known=as_known)
+        assert direct.columns == general.columns
+        assert sorted(map(str, direct.collect())) == sorted(map(str, general.collect()))
+
+
+def test_one_instant_reads_its_time_range_only(spark, tmp_path):
+    path = f"file://{tmp_path}/source"
+    spark.createDataFrame([(1, at(h), at(h), h) for h in range(24)], SOURCE).write.parquet(path)
+    entities = spark.createDataFrame([(1, at(12), 1)], ENTITY)
+    joined = join_at(entities, spark.read.parquet(path), [Lookup({"v": "v"}, DAY)], "k", at(12))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(event_timestamp" in plan and "LessThanOrEqual(event_timestamp" in plan

@@ -200,7 +200,7 @@ def model_save_load(spark, sf):
     """Rows of the test part, and on how many the saved model agrees with itself."""
     table = views.training(views.tx(spark, sf))
     path = scratch_path(spark, "model")
-    model = _fit(table, "lr")
+    model = fit(table, "lr")
     modeling.save_model(model, path)
     before = modeling.score(model, views.test_part(table))
     again = modeling.load_model(path).transform(
@@ -219,7 +219,7 @@ def model_load_by_alias(spark, sf):
     """The same model registered twice: equal AUC leaves the first one champion."""
     table = views.training(views.tx(spark, sf))
     path, root = scratch_path(spark, "model"), scratch_path(spark, "registry")
-    modeling.save_model(_fit(table, "lr"), path)
+    modeling.save_model(fit(table, "lr"), path)
     metrics = _evaluated(spark, modeling.load_model(path), table)
     # Registered from one written row: computed twice, the metrics might differ in the
     # last digit and the versions would not be equal.
@@ -604,7 +604,7 @@ def scale_features(spark, sf):
     return _elements(fitted.transform(assembler.transform(table)), "features", chosen)
 
 
-def _fit(table: DataFrame, kind: str) -> PipelineModel:
+def fit(table: DataFrame, kind: str) -> PipelineModel:
     chosen = modeling.numeric_features(table, "fraud", IDS)
     return modeling.model_stages(chosen, "fraud", kind).fit(views.train_part(table))
 
@@ -612,7 +612,7 @@ def _fit(table: DataFrame, kind: str) -> PipelineModel:
 def _trained(kind: str) -> Query:
     def run(spark, sf):
         table = views.training(views.tx(spark, sf))
-        return _evaluated(spark, _fit(table, kind), table)
+        return _evaluated(spark, fit(table, kind), table)
 
     return run
 
@@ -654,7 +654,7 @@ def best_params(spark, sf):
 @query
 def batch_score(spark, sf):
     table = views.training(views.tx(spark, sf))
-    scored = modeling.score(_fit(table, "rf"), views.test_part(table))
+    scored = modeling.score(fit(table, "rf"), views.test_part(table))
     return scored.select(
         "transaction_id",
         modeling.decode_prediction(F.col("prediction")).alias("prediction"),
@@ -762,18 +762,18 @@ def promote_alias(spark, sf):
 # --- streams
 
 
-def _message_stream(spark, sf):
+def message_stream(spark, sf):
     return views.messages(views.transactions(views.events_stream(spark, sf)))
 
 
 def _scored_stream(spark, sf, runs: int = 1) -> str:
     """Train, then score the message stream; ``runs`` restarts on one checkpoint."""
-    model = _fit(views.training(views.tx(spark, sf)), "rf")
+    model = fit(views.training(views.tx(spark, sf)), "rf")
     out, checkpoint = scratch_path(spark, "predictions"), scratch_path(spark, "checkpoint")
     for _ in range(runs):
         finish(
             scoring.start_scoring(
-                _message_stream(spark, sf), lambda: model, views.MESSAGE_SCHEMA, out, checkpoint
+                message_stream(spark, sf), lambda: model, views.MESSAGE_SCHEMA, out, checkpoint
             )
         )
     return out
@@ -815,7 +815,7 @@ def stream_sink_json(spark, sf):
     topic = scratch_path(spark, "topic")
     finish(
         scoring.sink_messages(
-            _message_stream(spark, sf), scratch_path(spark, "checkpoint"), path=topic
+            message_stream(spark, sf), scratch_path(spark, "checkpoint"), path=topic
         )
     )
     decoded = messages.decode(spark.read.text(topic), views.MESSAGE_SCHEMA)
