@@ -98,13 +98,18 @@ def throughput_profile(df: DataFrame, time: str) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     span = F.timestamp_diff("SECOND", F.min("second"), F.max("second")) + 1
-    return per_second.agg(
+    profile = per_second.agg(
         F.sum("n").alias("transactions"),
         F.count(F.lit(1)).alias("busy_seconds"),
         F.avg("n").alias("mean_per_busy_second"),
         (F.sum("n") / span).alias("mean_per_second"),
         F.max("n").alias("peak_per_second"),
-    ).withColumn("peak_within_target", F.col("peak_per_second") <= PEAK_PER_SECOND)
+    )
+    return profile.select(
+        "*",
+        (F.col("mean_per_second") <= USUAL_PER_SECOND).alias("usual_within_target"),
+        (F.col("peak_per_second") <= PEAK_PER_SECOND).alias("peak_within_target"),
+    )
 
 
 def latency_share(df: DataFrame, delay_ms: str) -> DataFrame:

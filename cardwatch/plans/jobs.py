@@ -46,10 +46,11 @@ def clean_files(spark: SparkSession, source: str, target: str, strict: bool = Fa
     rows = cleaning.classify(lines, strict, keep=("line",))
     kept = F.col("outcome") == cleaning.KEPT
     ranked = cleaning.earliest_first(list(TRANSACTION_COLUMNS), "transaction_id", ("tx_datetime",))
+    # The id leads the sort of the aggregate: long values that rarely tie.
     grouped = rows.groupBy(
-        "outcome",
         F.when(kept, F.col("transaction_id")).alias("transaction_id"),
         F.when(~kept, F.col("line")).alias("line"),
+        "outcome",
     ).agg(
         F.min(F.when(kept, F.struct(*ranked))).alias("first"), F.count(F.lit(1)).alias("copies")
     )

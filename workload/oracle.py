@@ -409,6 +409,7 @@ BODIES = {
                max(tx_amount) AS max_amount, count(DISTINCT customer_id) AS customers,
                count(DISTINCT terminal_id) AS terminals FROM profiled""",
     "clean_funnel": _FUNNEL,
+    "clean_job": _FUNNEL,
     "split_sizes": """
         SELECT CASE WHEN bucket % 100 >= 80 THEN 'test' ELSE 'train' END AS split,
                count(*) AS rows FROM buckets GROUP BY 1""",
@@ -539,7 +540,10 @@ BODIES = {
                round(avg(n), 9) AS mean_per_busy_second,
                round(CAST(sum(n) AS DOUBLE) / (date_diff('second', min(s), max(s)) + 1), 9)
                  AS mean_per_second,
-               max(n) AS peak_per_second, max(n) <= 400 AS peak_within_target
+               max(n) AS peak_per_second,
+               CAST(sum(n) AS DOUBLE) / (date_diff('second', min(s), max(s)) + 1) <= 50
+                 AS usual_within_target,
+               max(n) <= 400 AS peak_within_target
         FROM (SELECT tx_datetime AS s, count(*) AS n FROM tx GROUP BY 1)""",
     "latency_share": """
         SELECT count(*) AS decisions, round(avg(CASE WHEN ms <= 200 THEN 1.0 ELSE 0 END), 9)

@@ -497,6 +497,12 @@ def clean_funnel(spark, sf):
     return cleaning.funnel(_raw(spark, sf))
 
 
+@query
+def clean_job(spark, sf):
+    """The whole cleaning job on files; its funnel comes from what it wrote."""
+    return jobs.clean_files(spark, _raw_file(spark, sf), scratch_path(spark, "by-outcome"))
+
+
 @query
 def split_sizes(spark, sf):
     return splits.split_sizes(splits.with_split(views.tx(spark, sf), "transaction_id"))

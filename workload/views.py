@@ -40,8 +40,12 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """A pattern rather than a path, so one file and a folder of parts both work."""
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf}/{{events.parquet}}")
+    """A pattern rather than a path, so one file and a folder of parts both work.
+
+    A backlog of many files is taken in micro-batches of bounded size.
+    """
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1000)
+    return reader.parquet(f"{sf}/{{events.parquet}}")
 
 
 def _second_text() -> Column:
