@@ -17,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardwatch.operators.latest import latest_per_key, lookup_latest
 
 _AT, _SLICE, _NEWEST, _ENTITY = "__at", "__slice", "__newest", "__entity"
-_FIRST_INSTANT = "1970-01-01 00:00:00"
 ROWS_PER_KEY = 4_000_000
 
 
@@ -54,10 +55,8 @@ def slice_width_for(rows: DataFrame, keys: list[str], at: str, rows_per_key: int
     return f"{max(1, 1000 * seconds * rows_per_key // (4 * rows_in_key))} milliseconds"
 
 
-def _sliced(rows: DataFrame, width: str, time_type: str) -> DataFrame:
-    """Adds the start of the slice; rows without a time go to the first one."""
-    filled = F.coalesce(F.col(_AT), F.lit(_FIRST_INSTANT).cast(time_type))
-    return rows.withColumn(_SLICE, F.window(filled, width).getField("start"))
+def _sliced(rows: DataFrame, width: str) -> DataFrame:
+    return rows.withColumn(_SLICE, F.window(_AT, width).getField("start"))
 
 
 def _inherited(feature_rows: DataFrame, entity_rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,8 +99,7 @@ def point_in_time_join(
     """
     keys = [key] if isinstance(key, str) else list(key)
     needed = sorted({c for lookup in lookups for c in lookup.columns.values()})
-    time_type = entities.schema[entity_time].dataType.simpleString()
-    if source.schema[source_time].dataType.simpleString() != time_type:
+    if entities.schema[entity_time].dataType != source.schema[source_time].dataType:
         raise ValueError(f"{entity_time} and {source_time} must have one timestamp type")
 
     ranked = [F.col(source_time).alias("at")]
@@ -113,7 +111,9 @@ def point_in_time_join(
         visible.alias(_AT),
         F.struct(*ranked, F.struct(*needed).alias("row")).alias(_NEWEST),
     )
-    entity_rows = entities.select(
+    # Rows without a key or time match nothing; they would pile up in one group.
+    answerable = reduce(and_, [F.col(c).isNotNull() for c in (*keys, entity_time)])
+    entity_rows = entities.filter(answerable).select(
         *keys, F.col(entity_time).alias(_AT), F.struct("*").alias(_ENTITY)
     )
 
@@ -124,8 +124,8 @@ def point_in_time_join(
         group, stacked = keys, feature_rows
     else:
         group = [*keys, _SLICE]
-        feature_rows = _sliced(feature_rows, slice_width, time_type)
-        entity_rows = _sliced(entity_rows, slice_width, time_type)
+        feature_rows = _sliced(feature_rows, slice_width)
+        entity_rows = _sliced(entity_rows, slice_width)
         stacked = feature_rows.unionByName(_inherited(feature_rows, entity_rows, keys))
 
     # Rows at the same instant are peers, so a feature at the entity's time counts.
@@ -137,7 +137,13 @@ def point_in_time_join(
     )
     picked = _pick(lookups, F.col(_NEWEST).getField("at"), F.col(_AT),
                    lambda c: F.col(f"{_NEWEST}.row.{c}"))
-    return joined.select(f"{_ENTITY}.*", *picked)
+    nothing = [
+        F.lit(None).cast(source.schema[c].dataType).alias(name)
+        for lookup in lookups
+        for name, c in lookup.columns.items()
+    ]
+    unanswerable = entities.filter(~answerable).select("*", *nothing)
+    return joined.select(f"{_ENTITY}.*", *picked).unionByName(unanswerable)
 
 
 def join_at(

@@ -135,3 +135,20 @@ def test_same_feature_of_two_views_needs_full_names(spark):
         historical_features(CATALOG, training_rows(spark), wanted, sources)
     named = historical_features(CATALOG, training_rows(spark), wanted, sources, full_names=True)
     assert named.columns[-2:] == ["driver_hourly_stats__conv_rate", "driver_reliability__conv_rate"]
+
+
+def test_an_on_demand_view_may_use_pandas(spark):
+    import pandas as pd
+
+    from cardwatch.operators.feature_views import Catalog, OnDemandView
+    from cardwatch.plans.driver_features import VIEWS
+
+    @F.pandas_udf("double")
+    def doubled(rate: pd.Series) -> pd.Series:
+        return rate * 2.0
+
+    view = OnDemandView("twice", "driver_hourly_stats", ("conv_rate",), ("twice_rate",),
+                        lambda rate: [doubled(rate).alias("twice_rate")])
+    catalog = Catalog(VIEWS, (view,), (("set", ("twice",)),), KEY)
+    got = historical_features(catalog, training_rows(spark), "set", {BATCH: stats(spark)})
+    assert {r.driver_id: r.twice_rate for r in got.collect()} == {1001: 1.0, 1002: 1.0, 1003: None}

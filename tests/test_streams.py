@@ -93,3 +93,15 @@ def test_days_do_not_depend_on_the_session_zone(spark, zone):
         assert {r.d for r in days} == {"2024-01-05"}
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_time_limit_ends_a_running_query(spark, tmp_path):
+    topic, out = f"file://{tmp_path}/topic", f"file://{tmp_path}/out"
+    send(spark, topic, ["a"])
+    stream = read_message_stream(spark, path=topic)
+    query = scoring.sink_messages(
+        stream, f"file://{tmp_path}/checkpoint", path=out, every="1 second"
+    )
+    assert finish(query, 8) is False
+    assert not query.isActive
+    assert [r.value for r in spark.read.text(out).collect()] == ["a"]

@@ -301,7 +301,7 @@ BODIES = {
     "scan_header_csv": f"SELECT {_TX}, CAST(tx_fraud AS BIGINT) AS fraud FROM tx",
     "scan_feature_source": "SELECT * FROM driver_stats",
     "entity_rows_literal": """
-        SELECT e.driver_id, e.event_timestamp, e.satisfaction,
+        SELECT CAST(e.driver_id AS BIGINT) AS driver_id, e.event_timestamp, e.satisfaction,
                CASE WHEN e.event_timestamp <= s.event_timestamp + INTERVAL 1 DAY
                     THEN s.conv_rate END AS conv_rate,
                CASE WHEN e.event_timestamp <= s.event_timestamp + INTERVAL 1 DAY
