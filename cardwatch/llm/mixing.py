@@ -2,13 +2,13 @@
 
 Every source gets a target size; a document of the source gets a fractional number of copies,
 target / source size.  The whole part is taken.  The fractions are rounded by the pivotal
-method: two undecided documents pass probability to each other at random until one of them is
-0 or 1, the other carries the rest on.  Expected copies stay exact.  Documents of like size meet
-first, so what one loses a document of about the same size gains.
+method: two undecided documents pass words to each other at random until one of them is taken
+not at all or once, the other carries the rest on.  Expected copies stay exact, and the words of a
+source end within one document of its target (the last undecided one is rounded by itself).
 
-The meetings form a reduction tree: blocks of at most about ``BLOCK`` documents of one source
-and size class are folded by themselves and leave one undecided document each, which meet in
-coarser classes at the next level.  Draws are hashes of ids, so reruns agree whatever the
+The meetings form a reduction tree: blocks of about ``BLOCK`` documents of one source are folded
+by themselves, large documents first, and leave one undecided document each, which meet at the
+next level.  Draws are hashes of ids, so reruns agree whatever the
 partitions.  Only DataFrame functions are used.
 
 Null sources are a source of their own, last in order.  Null and empty texts have size 0 and
@@ -66,57 +66,63 @@ def _uniform(*keys: Column) -> Column:
 def _meet(carry: Column, item: Column, level: int, seed: int) -> Column:
     """One pivotal step of the fold.
 
-    The accumulator has the decided documents, the undecided one (``at``, -1: none) and its
-    probability ``p``.  An outcome of nearly 0 or 1 decides both.
+    The accumulator has the decided documents and the undecided one: its place ``at`` (-1:
+    none), ``size`` and probability ``p``.  Words move from one document to the other until
+    one is whole; the direction is drawn so that both keep their expected copies, and the
+    expected words of the two stay what they were whichever way they go.
     """
-    q, total = item["p"], carry["p"] + item["p"]
-    draw = _uniform(item["ref"], F.lit(level), F.lit(seed))
-    low = total < 1
-    item_stays = F.when(low, draw * total < q).otherwise(draw * (2 - total) < 1 - q)
-    settled = F.when(low, F.lit(0)).otherwise(F.lit(1))
-    rest = F.when(low, total).otherwise(total - 1)
-    met = F.struct(
-        F.concat(carry["done"], F.array(F.struct(
-            F.when(item_stays, carry["at"]).otherwise(item["at"]).alias("at"), settled.alias("bit")))).alias("done"),
-        F.when(item_stays, item["at"]).otherwise(carry["at"]).alias("at"),
-        rest.alias("p"),
+    a, b = carry["p"], item["p"]
+    size_a, size_b = carry["size"].cast("double"), item["size"].cast("double")
+    up = F.least((1 - a) * size_a, b * size_b)
+    down = F.least(a * size_a, (1 - b) * size_b)
+    raised = _uniform(item["ref"], F.lit(level), F.lit(seed)) * (up + down) < down
+    moved = F.when(raised, up).otherwise(-down)
+    pair = F.array(
+        F.struct(carry["at"].alias("at"), carry["size"].alias("size"), (a + moved / size_a).alias("p")),
+        F.struct(item["at"].alias("at"), item["size"].alias("size"), (b - moved / size_b).alias("p")),
     )
-    alone = F.struct(carry["done"].alias("done"), item["at"].alias("at"), item["p"].alias("p"))
-    result = F.when(carry["at"] < 0, alone).otherwise(met)
-    whole = (result["p"] < TINY) | (result["p"] > 1 - TINY)
-    closed = F.struct(
-        F.concat(result["done"], F.array(F.struct(
-            result["at"].alias("at"), F.when(result["p"] < 0.5, 0).otherwise(1).alias("bit")))).alias("done"),
-        F.lit(-1).alias("at"), F.lit(0.0).alias("p"))
-    return F.when(whole, closed).otherwise(result)
+    alone = F.array(F.struct(item["at"].alias("at"), item["size"].alias("size"), b.alias("p")))
+
+    def is_open(x: Column) -> Column:
+        return (x["p"] > TINY) & (x["p"] < 1 - TINY)
+
+    def next_state(state: Column, met: Column) -> Column:
+        whole = F.filter(met, lambda x: ~is_open(x))
+        bits = F.transform(whole, lambda x: F.struct(x["at"].alias("at"), F.round(x["p"]).cast("int").alias("bit")))
+        rest = F.filter(met, is_open)
+        none = F.struct(F.lit(-1).alias("at"), F.lit(0).cast("long").alias("size"), F.lit(0.0).alias("p"))
+        held = F.coalesce(F.get(rest, F.lit(0)), none)
+        return F.struct(F.concat(state["done"], bits).alias("done"), held["at"].alias("at"),
+                        held["size"].alias("size"), held["p"].alias("p"))
+
+    return next_state(carry, F.when(carry["at"] < 0, alone).otherwise(pair))
 
 
 def _fold(rows: DataFrame, level: int, seed: int, block: int, *carried: str) -> DataFrame:
     """Fold blocks of undecided rows (source, size, ref, p); ``bit`` is null for the one left."""
-    cell = ["source", "class"]
-    classed = rows.withColumn("class", F.floor(F.floor(F.log2(F.col("size") + 1) * 4) / 4**level).cast("int"))
-    counts = classed.groupBy(*cell).agg(F.ceil(F.count("*") / block).alias("pieces"))
-    other = counts.select(F.col("source").alias("s2"), F.col("class").alias("c2"), "pieces")
-    placed = classed.join(other, F.col("source").eqNullSafe(F.col("s2")) & (F.col("class") == F.col("c2")))
+    counts = rows.groupBy("source").agg(F.ceil(F.count("*") / block).alias("pieces"))
+    other = counts.select(F.col("source").alias("of"), "pieces")
+    placed = rows.join(other, F.col("source").eqNullSafe(F.col("of")))
     placed = placed.withColumn("piece", F.pmod(F.xxhash64("ref", F.lit(level), F.lit(seed)), F.col("pieces")))
-    members = placed.groupBy(*cell, "piece").agg(
-        F.sort_array(F.collect_list(F.struct("size", "ref", "p", *carried))).alias("items"))
+    members = placed.groupBy("source", "piece").agg(
+        F.sort_array(F.collect_list(F.struct("size", "ref", "p", *carried)), asc=False).alias("items"))
     numbered = members.withColumn("items", F.transform("items", lambda x, i: x.withField("at", i)))
     start = F.struct(
-        F.array().cast("array<struct<at:int,bit:int>>").alias("done"), F.lit(-1).alias("at"), F.lit(0.0).alias("p"))
+        F.array().cast("array<struct<at:int,bit:int>>").alias("done"), F.lit(-1).alias("at"),
+        F.lit(0).cast("long").alias("size"), F.lit(0.0).alias("p"))
     folded = numbered.withColumn("fold", F.aggregate("items", start, lambda a, x: _meet(a, x, level, seed)))
     bits = folded.withColumn(
         "bits", F.map_from_arrays(F.transform("fold.done", lambda d: d["at"]), F.transform("fold.done", lambda d: d["bit"])))
     return bits.select(
-        "source", "piece", "class", F.col("fold.p").alias("rest"), "bits", F.explode("items").alias("item")
-    ).select("source", "class", "piece", "rest", F.element_at("bits", F.col("item.at")).alias("bit"), "item.*")
+        "source", "piece", F.col("fold.p").alias("rest"), "bits", F.explode("items").alias("item")
+    ).select("source", "piece", "rest", F.element_at("bits", F.col("item.at")).alias("bit"), "item.*")
 
 
 def pivotal_rounding(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> DataFrame:
     """Round the fractions ``p`` of (doc_id, source, size, p) to ``bit`` 0 or 1."""
     first = written(_fold(rows.withColumn("ref", F.xxhash64("doc_id", "size")), 0, seed, block, "doc_id"), "mix-0")
     left = first.filter("bit is null").select(
-        "source", "size", F.xxhash64("source", "class", "piece").alias("ref"), F.col("rest").alias("p"))
+        "source", "size", F.xxhash64("source", "piece").alias("ref"), F.col("rest").alias("p"))
     decided, level = [], 0
     while True:
         level += 1
@@ -132,7 +138,7 @@ def pivotal_rounding(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> Data
     for part in decided:
         last = last.union(part)
     later = last.select("blocked", F.col("bit").alias("later"))
-    keyed = first.withColumn("blocked", F.when(F.col("bit").isNull(), F.xxhash64("source", "class", "piece")))
+    keyed = first.withColumn("blocked", F.when(F.col("bit").isNull(), F.xxhash64("source", "piece")))
     return keyed.join(later, "blocked", "left").select("doc_id", "source", "size", F.coalesce("bit", "later").alias("bit"))
 
 
