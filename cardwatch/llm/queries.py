@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import exactdup, linedup, mixing, sharding
+from cardwatch.llm import exactdup, linedup, mixing, quality, sharding, toxicity
 from cardwatch.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
 
+@query
+def op4_toxicity_noisy_or(spark, sf):
+    return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 @query
 def op5_rendezvous_sharding(spark, sf):
     return sharding.assign(table(spark, sf, "documents"), [1.0] * 16)
@@ -68,3 +73,8 @@ WITH n AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
+
+
+@query
+def op9_quality_trees(spark, sf):
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
