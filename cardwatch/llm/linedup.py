@@ -34,20 +34,23 @@ def _lines(docs: DataFrame) -> DataFrame:
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
     """Line hashes on ``min_sites`` sites or more.
 
-    Only lines with as many occurrences are sketched.  The sketch decides outside a band of
+    Occurrences are combined by line and site before they are shuffled by line, so a line that
+    stands everywhere has one row per site.  Only lines with ``min_sites`` occurrences are
+    sketched.  The sketch decides outside a band of
     ``SIGMAS`` standard errors around the threshold; inside it the sites are counted exactly.
     """
-    frequent = lines.groupBy("line").agg(F.count("site").alias("n")).filter(F.col("n") >= min_sites).select("line")
+    pairs = written(
+        lines.filter("site is not null").groupBy("line", "site").agg(F.count("*").alias("n")), "line-sites")
+    frequent = pairs.groupBy("line").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_sites).select("line")
     sketched = written(
-        lines.join(frequent, "line", "left_semi").groupBy("line")
+        pairs.join(frequent, "line", "left_semi").groupBy("line")
         .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites")),
         "line-sketches",
     )
     band = max(1, math.ceil(min_sites * SIGMAS * 1.04 / math.sqrt(1 << lg_k)))
     near = sketched.filter(F.abs(F.col("sites") - min_sites) <= band).select("line")
     exact = (
-        lines.join(near, "line", "left_semi").select("line", "site").distinct()
-        .groupBy("line").agg(F.count("site").alias("sites")).filter(F.col("sites") >= min_sites)
+        pairs.join(near, "line", "left_semi").groupBy("line").agg(F.count("site").alias("sites")).filter(F.col("sites") >= min_sites)
     )
     return sketched.filter(F.col("sites") > min_sites + band).select("line").union(exact.select("line"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import exactdup, linedup, mixing, quality, sharding, toxicity
+from cardwatch.llm import decontaminate, exactdup, linedup, mixing, quality, sharding, toxicity
 from cardwatch.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 @query
 def op9_quality_trees(spark, sf):
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op10_simhash_decontamination(spark, sf):
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
