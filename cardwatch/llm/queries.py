@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontaminate, exactdup, linedup, mixing, quality, sharding, toxicity
+from cardwatch.llm import decontaminate, exactdup, linedup, mixing, neardup, quality, sharding, toxicity
 from cardwatch.llm.store import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_ngram_jaccard_join(spark, sf):
+    return neardup.components_of(table(spark, sf, "documents"), k=4, percent=85)
+
+
 @query
 def op3_line_dedup(spark, sf):
     return linedup.remove_boilerplate(table(spark, sf, "documents"))
