@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontaminate, exactdup, linedup, mixing, neardup, quality, sharding, toxicity
+from cardwatch.llm import decontaminate, exactdup, linedup, mixing, neardup, quality, sharding, toxicity, warc
 from cardwatch.llm.store import table
+from cardwatch.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,28 @@ def op1_ngram_jaccard_join(spark, sf):
     return neardup.components_of(table(spark, sf, "documents"), k=4, percent=85)
 
 
+@query
+def op2_warc_capture_index(spark, sf):
+    records = warc.round_trip(table(spark, sf, "pages"), scratch_path(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op2_warc_capture_index"] = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest,
+         CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes
+  FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= {warc.LEAST} THEN min(page_id) OVER (PARTITION BY payload_digest)
+            ELSE page_id END AS first_id
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
 @query
 def op3_line_dedup(spark, sf):
     return linedup.remove_boilerplate(table(spark, sf, "documents"))
