@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cardwatch.llm.components import components
+from cardwatch.llm.fragments import PACKED, Packer, tally
 from cardwatch.llm.store import written
 from cardwatch.llm.textarrays import LOWER, PrefixHash, Texts, Words, distinct_in_text, mix, shingles, slices
 
 HOT_GRAMS = 1_000_000
 HOT_DOCUMENTS = 48
 FRAGMENT_GRAMS = 1_500_000
-FLUSH_GRAMS = 2_000_000
 FIRST_PART = 0.3
 SEGMENTS = 8
 BROADCAST_NODES = 1_000_000
@@ -88,99 +88,39 @@ def _with_node(k: int):
 
 
 def _fragments(k: int, bits: int, part: float):
-    """Shingles of the first ``part`` of the order by fragment, combined inside the task.
-
-    A fragment has the sets (``owners``, each with the number of its ``keys`` in ``sizes``) and, once each with
-    their counts, the keys that several sets of the task share.
-    """
+    """Shingles of the first ``part`` of the order with the set they are from, by fragment."""
     last = np.uint64(min(int(part * 2.0**64), 2**64 - 1))
-    down = np.uint64(32 - bits)
-
-    def packed(grams: np.ndarray, owner: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key = grams >> down
-        order = np.lexsort((owner, key))
-        key, owner = key[order], owner[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-        key, owner = key[new], owner[new]
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        count = np.diff(np.append(first, len(key)))
-        shared, shared_count = key[first[count > 1]], count[count > 1]
-        single, owner = key[first[count == 1]], owner[first[count == 1]]
-        order = np.lexsort((owner, single >> np.uint64(32)))
-        single, owner = single[order], owner[order]
-        frags = np.unique(np.concatenate([single, shared]) >> np.uint64(32))
-        rows = []
-        for f in frags:
-            a, b = np.searchsorted(single >> np.uint64(32), [f, f + np.uint64(1)])
-            c, d = np.searchsorted(shared >> np.uint64(32), [f, f + np.uint64(1)])
-            owners, sizes = np.unique(owner[a:b], return_counts=True)
-            rows.append((int(f), single[a:b].astype(np.uint32).tobytes(), owners.tobytes(),
-                         sizes.astype(np.uint32).tobytes(), shared[c:d].astype(np.uint32).tobytes(),
-                         shared_count[c:d].astype(np.uint32).tobytes()))
-        names = ["fragment", "keys", "owners", "sizes", "shared", "shared_counts"]
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, owners, count = [], [], 0
+        packer = Packer(bits)
         for batch in batches:
             for texts in slices(batch.column("text")):
                 bounds, grams, node = gram_sets(texts, k)
-                owner = np.repeat(node, np.diff(bounds))
                 inside = grams <= last
-                held.append(grams[inside])
-                owners.append(owner[inside])
-                count += int(inside.sum())
-                if count >= FLUSH_GRAMS:
-                    yield from packed(np.concatenate(held), np.concatenate(owners))
-                    held, owners, count = [], [], 0
-        if count:
-            yield from packed(np.concatenate(held), np.concatenate(owners))
+                yield from packer.add(grams[inside], np.repeat(node, np.diff(bounds))[inside])
+        yield from packer.flush()
 
     return apply
 
 
 def _singles(hot_from: int):
+    """Per set the number of shingles that it alone has, and the frequent shingles, of one fragment."""
+
     def apply(rows: pa.Table) -> pa.Table:
-        def joined(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
-
-        fragment = rows.column("fragment")[0].as_py()
-        key, owner = joined("keys", np.uint32), np.repeat(joined("owners", np.uint64), joined("sizes", np.uint32))
-        # keys of a row are ordered by owner, so owners repeat in place
-        order = np.lexsort((owner, key))
-        key, owner = key[order], owner[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-        key, owner = key[new], owner[new]
-        keys, first, count = np.unique(key, return_index=True, return_counts=True)
-        shared, place = np.unique(joined("shared", np.uint32), return_inverse=True)
-        more = np.bincount(place, joined("shared_counts", np.uint32), len(shared)).astype(np.int64)
-        at = np.searchsorted(shared, keys)
-        known = at < len(shared)
-        known[known] = shared[at[known]] == keys[known]
-        owners, singles = np.unique(owner[first[(count == 1) & ~known]], return_counts=True)
-        total = count.astype(np.int64)
-        total[known] += more[at[known]]
-        only = np.setdiff1d(np.arange(len(shared)), at[known])
-        keys, total = np.concatenate([keys, shared[only]]), np.concatenate([total, more[only]])
+        fragment, keys, total, alone = tally(rows)
+        owners, singles = np.unique(alone, return_counts=True)
         hot = total >= hot_from
         full = keys[hot].astype(np.int64) | (fragment << 32)
         return pa.table({
-            "id": np.concatenate([owners.view(np.int64), full]),
-            "count": np.concatenate([singles.astype(np.int64), total[hot]]),
-            "hot": np.concatenate([np.zeros(len(owners), bool), np.ones(len(full), bool)])})
+            "id": np.append(owners.view(np.int64), full), "count": np.append(singles, total[hot]).astype(np.int64),
+            "hot": np.append(np.zeros(len(owners), bool), np.ones(len(full), bool))})
 
     return apply
 
 
 def _counted(texts: DataFrame, k: int, bits: int, part: float, hot_from: int) -> DataFrame:
     return written(
-        texts.select("text").mapInArrow(
-            _fragments(k, bits, part),
-            "fragment int, keys binary, owners binary, sizes binary, shared binary, shared_counts binary")
+        texts.select("text").mapInArrow(_fragments(k, bits, part), PACKED)
         .groupBy("fragment").applyInArrow(_singles(hot_from), "id long, count long, hot boolean"),
         "fragment-counts")
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontaminate, exactdup, linedup, mixing, neardup, quality, sharding, toxicity, warc
+from cardwatch.llm import decontaminate, exactdup, linedup, longmatch, mixing, neardup, quality, sharding, toxicity, warc
 from cardwatch.llm.store import table
 from cardwatch.session import scratch_path
 
@@ -103,6 +103,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+@query
+def op8_run_length_index(spark, sf):
+    return longmatch.remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 @query
 def op9_quality_trees(spark, sf):
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
