@@ -11,9 +11,9 @@ similarity of ``percent`` hundredths and a document of n distinct shingles:
 * The overlap of a candidate pair is counted fragment by fragment and summed per pair.
 
 Equal sets are one node, whatever the number of copies.  Candidates of a shared shingle are not
-all paired: first each is compared with one of them, then with one of each other component found
-so far, and only pairs whose components still differ are compared one by one.  Every link between different
-components is found, so components are exact; pairs inside a component are not enumerated.
+all paired: in a few rounds each is compared with some of them (``LEADERS``, drawn anew per shingle and round), and
+then only pairs whose components still differ are compared one by one.  No link between
+different components is missed, so components are exact; pairs inside a component are not enumerated.
 
 Which shingles count as frequent only affects speed; the ``HOT_GRAMS`` most frequent go to all
 executors.  Sets and shingles are compared by 64-bit hashes.
@@ -40,7 +40,10 @@ HOT_GRAMS = 1_000_000
 HOT_DOCUMENTS = 48
 FRAGMENT_GRAMS = 1_500_000
 FIRST_PART = 0.3
-SEGMENTS = 8
+SEGMENTS = 4
+LEADERS = (1, 8, 8)
+LEAST_BITS = 7
+LOOK_BACK = 64
 BROADCAST_NODES = 1_000_000
 
 _SEED = np.uint64(0xD6E8FEB86659FD93)
@@ -153,18 +156,18 @@ def _prefixes(k: int, percent: int, bits: int, hot: np.ndarray):
 
 
 def _segments(k: int):
+    """Every set with its shingles cut into ``SEGMENTS`` fragments of the hash order."""
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column("text")):
                 bounds, grams, node = gram_sets(texts, k)
                 text = np.repeat(np.arange(len(texts)), np.diff(bounds))
                 piece = text * SEGMENTS + (grams >> np.uint64(64 - SEGMENTS.bit_length() + 1)).astype(np.int64)
-                pieces, first = np.unique(piece, return_index=True)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.append(first, len(grams)).astype(np.int32)), pa.array(grams.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[pieces // SEGMENTS].view(np.int64)),
-                     pa.array((pieces % SEGMENTS).astype(np.int32)), lists], ["node", "segment", "grams"])
+                ends = np.searchsorted(piece, np.arange(len(texts) * SEGMENTS + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(grams.view(np.int64)))
+                whole = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * SEGMENTS), lists)
+                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), whole], ["node", "fragments"])
 
     return apply
 
@@ -177,21 +180,24 @@ def _fit(a: str, b: str, percent: int):
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Links among candidate pairs (a, n_a, b, n_b): overlaps per segment, summed per pair."""
-    theirs = segments.select(F.col("node").alias("b"), "segment", F.col("grams").alias("grams_b"))
-    mine = segments.select(F.col("node").alias("a"), "segment", F.col("grams").alias("grams_a"))
-    partial = pairs.join(theirs, "b").join(mine, ["a", "segment"]).select(
-        "a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("common"))
-    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
+    """Links among candidate pairs (a, n_a, b, n_b): overlaps fragment by fragment, summed per pair."""
+    theirs = segments.select(F.col("node").alias("b"), F.col("fragments").alias("fragments_b"))
+    mine = segments.select(F.col("node").alias("a"), F.col("fragments").alias("fragments_a"))
+    partial = F.zip_with("fragments_a", "fragments_b", lambda x, y: F.size(F.array_intersect(x, y)).cast("long"))
+    total = pairs.join(theirs, "b").join(mine, "a").select(
+        "a", "b", "n_a", "n_b", F.aggregate(partial, F.lit(0).cast("long"), lambda s, x: s + x).alias("common"))
     return total.filter(F.col("common") * 100 >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
 
 
 def _side(frame: DataFrame, name: str) -> DataFrame:
-    return frame.select("gram", *[F.col(c).alias(f"{c}_{name}" if c != "node" else name) for c in ("node", "n", "place", "label")])
+    rest = [F.col(c).alias(f"{c}_{name}") for c in ("n", "place", "label", "earlier") if c in frame.columns]
+    return frame.select("gram", F.col("node").alias(name), *rest)
 
 
 def _pairs(left: DataFrame, right: DataFrame, percent: int, tested: DataFrame | None, on: list[str]) -> DataFrame:
-    joined = left.join(right, on).filter((F.col("a") != F.col("b")) & _fit("a", "b", percent))
+    joined = left.join(right, on).filter((F.col("label_a") != F.col("label_b")) & _fit("a", "b", percent))
+    if "earlier_a" in joined.columns:  # a pair is met at its first common shingle
+        joined = joined.filter(~F.arrays_overlap("earlier_a", "earlier_b"))
     swap = F.col("a") > F.col("b")
     pairs = joined.select(
         F.when(swap, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("b"),
@@ -200,38 +206,43 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int, tested: DataFrame |
     return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
+def _with_earlier(marked: DataFrame) -> DataFrame:
+    """Add the shingles that come before this one, of the first ``LOOK_BACK`` of the node."""
+    items = F.sort_array(F.collect_list(F.struct("place", "gram")))
+    front = marked.groupBy("node").agg(F.slice(items, 1, LOOK_BACK).alias("front"))
+    before = F.transform(F.filter("front", lambda x: x["place"] < F.col("place")), lambda x: x["gram"])
+    return marked.join(front, "node").withColumn("earlier", before).drop("front")
+
+
 def _link(members: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Components (node, label) of the candidates in ``members`` (gram, node, n, place)."""
     links, tested, labels = None, None, None
-    for step in ("one", "each", "all"):
+    for step, leads in enumerate((*LEADERS, 0)):
         if labels is None:
-            marked = members.withColumn("label", F.lit(0).cast("long"))
+            marked = members.withColumn("label", F.col("node"))
         else:
             other = labels.select(F.col("node").alias("of"), "label")
             marked = members.join(other, members.node == F.col("of"), "left").select(
                 "gram", "node", "n", "place", F.coalesce("label", "node").alias("label"))
             mixed = marked.groupBy("gram").agg((F.min("label") != F.max("label")).alias("mixed")).filter("mixed")
             marked = written(marked.join(mixed.select("gram"), "gram", "left_semi"), "mixed")
-        if step == "all":
+        if leads:
+            drawn = [F.min(F.struct(F.xxhash64("node", "gram", F.lit(step), F.lit(i)).alias("draw"), "node", "n", "place", "label"))
+                     for i in range(leads)]
+            leaders = marked.groupBy("gram").agg(F.array_distinct(F.array(*drawn)).alias("leads"))
+            leaders = leaders.select("gram", F.explode("leads").alias("lead")).select("gram", "lead.*")
+            pairs = _pairs(_side(marked, "a"), _side(leaders, "b"), percent, tested, ["gram"])
+        else:
+            marked = _with_earlier(marked)
             groups = marked.select("gram", "label").distinct()
             low = groups.select("gram", F.col("label").alias("label_a"))
             cross = low.join(groups.select("gram", F.col("label").alias("label_b")), "gram").filter("label_a < label_b")
             pairs = _pairs(cross.join(_side(marked, "a"), ["gram", "label_a"]), _side(marked, "b"), percent, tested,
                            ["gram", "label_b"])
-        else:
-            lead = F.min(F.struct(F.xxhash64("node").alias("draw"), "node", "n", "place")).alias("lead")
-            leaders = marked.groupBy("gram", "label").agg(lead).select("gram", "label", "lead.*")
-            left = _side(marked, "a")
-            if labels is None:
-                pairs = _pairs(left, _side(leaders, "b"), percent, tested, ["gram"])
-            else:
-                left = left.join(_side(leaders, "b"), "gram").filter("label_a <> label_b")
-                pairs = _pairs(left, leaders.select("gram").distinct(), percent, tested, ["gram"])
         pairs = written(pairs, f"pairs-{step}")
         found = written(_verified(pairs, segments, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "found")
         tested = pairs if tested is None else tested.select("a", "b").union(pairs.select("a", "b"))
-        links = found if links is None else links.union(found)
-        labels = components(links)
+        labels = components(found if links is None else links.union(found))
         links = labels.select(F.col("node").alias("u"), F.col("label").alias("v"))
     return labels
 
@@ -243,7 +254,7 @@ def components_of(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     nodes = written(
         sets.filter("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id")), "gram-nodes")
     total = nodes.agg(F.sum("n")).first()[0] or 0
-    bits = min(24, max(3, int(total / FRAGMENT_GRAMS).bit_length()))
+    bits = min(24, max(LEAST_BITS, int(total / FRAGMENT_GRAMS).bit_length()))
     some = _possible(nodes, _counted(narrow, k, bits, FIRST_PART, 1 << 62), percent)
     some = written(some.filter("doc_id is not null"), "some-nodes")
     keys = some.select("doc_id").distinct()
@@ -261,7 +272,7 @@ def components_of(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     members = written(rows.join(several, "gram", "left_semi"), "prefix-members")
     compared = members.select("node").distinct()
     segments = written(
-        texts.mapInArrow(_segments(k), "node long, segment int, grams array<long>")
+        texts.mapInArrow(_segments(k), "node long, fragments array<array<long>>")
         .join(compared, "node", "left_semi"), "segments")
     labels = _link(members, segments, percent)
     placed = sets.filter("n > 0").join(labels, "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label"))

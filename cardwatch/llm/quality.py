@@ -11,12 +11,12 @@ the base rate, or 0.5 without any.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cardwatch.llm.labels import fold, sample
 from cardwatch.llm.textarrays import LOWER, PrefixHash, Texts, Words, distinct_in_text, shingles, slices
@@ -160,24 +160,28 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality",
     return fit_trees(x[order], y[order])
 
 
-def scorer(score: Callable[[Texts], np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A map over batches that adds ``score`` of the text to the other columns."""
-
+def _scored(trees: Trees, names: list[str]):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column("text")):
                 part = batch.slice(texts.first, len(texts))
-                rest = [part.column(n) for n in part.schema.names if n != "text"]
-                names = [n for n in part.schema.names if n != "text"]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(score(texts))], [*names, "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(n) for n in names), pa.array(trees.score(statistics(texts)))], [*names, "score"])
 
     return apply
 
 
+def score_rows(docs: DataFrame, trees: Trees) -> DataFrame:
+    """The rows with a column ``score``, the quality of their text (a column of that name is replaced)."""
+    rows = docs.drop("score")
+    kinds = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(_scored(trees, rows.columns), kinds)
+
+
 def score(docs: DataFrame, trees: Trees) -> DataFrame:
     """doc_id and the quality score, 0 to 1, of every row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scorer(lambda texts: trees.score(statistics(texts))), "doc_id long, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(_scored(trees, ["doc_id"]), "doc_id long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, least: float = 0.7,

@@ -66,3 +66,10 @@ def assign(docs: DataFrame, weights: Sequence[float], added: float = 1.0, seed:
         rendezvous(F.col("doc_id"), [*weights, added], seed).cast("int").alias("grown_shard"),
     )
     return with_slots(written(rows, "sharded"), ["doc_id", "size", "text_crc32"])
+
+
+def place(rows: DataFrame, weights: Sequence[float], seed: int = 0) -> DataFrame:
+    """The rows with ``shard`` and ``slot`` (columns of these names are replaced)."""
+    placed = rows.drop("shard", "slot", "_piece", "_row", "_start", "_n").withColumn(
+        "shard", rendezvous(F.col("doc_id"), weights, seed).cast("int"))
+    return with_slots(placed, ["doc_id"])

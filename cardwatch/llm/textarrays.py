@@ -1,7 +1,7 @@
 """Words, shingles and their hashes of many texts at once, on numpy arrays.
 
-Texts come as Arrow batches inside Spark tasks.  A batch is worked on in slices of a few
-megabytes, so memory depends on the slice and the longest single text only.
+Texts come as Arrow batches inside Spark tasks.  A batch is worked on in slices
+that fit a core's cache, so memory depends on the slice and the longest single text only.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -34,13 +34,13 @@ _powers = {}
 
 
 def _power(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64; kept for the next slices up to a few megabytes."""
+    """base**0 .. base**n modulo 2**64; kept for the next slices unless a text is very long."""
     known = _powers.get(int(base))
     if known is None or len(known) <= n:
         steps = np.full(max(n, SLICE_BYTES) + 1, base, np.uint64)
         steps[0] = 1
         known = np.multiply.accumulate(steps)
-        if len(known) <= 4 * SLICE_BYTES:
+        if len(known) <= 16 * SLICE_BYTES:
             _powers[int(base)] = known
     return known[: n + 1]
 
@@ -125,8 +125,8 @@ def shingles(word_hash: np.ndarray, words: Words, k: int) -> tuple[np.ndarray, n
     size = np.minimum(left[at], k)
     total = size.astype(np.uint64)
     for j in range(k):
-        term = mix(padded[at + j] + np.uint64(j + 1) * _BASE)
-        total += np.where(size > j, term, np.uint64(0)) * (np.uint64(2 * j + 1) * _C2)
+        term = mix(padded[at + j] + np.uint64((j + 1) * int(_BASE) % 2**64))
+        total += np.where(size > j, term, np.uint64(0)) * np.uint64((2 * j + 1) * int(_C2) % 2**64)
     return words.text[at], at, mix(total)
 
 
