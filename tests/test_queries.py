@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
+from workload import oracle, queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = queries.QUERIES, oracle.oracle_sql()
 WITHOUT_SQL = {"train_forest", "train_logistic", "cross_validate", "best_params", "batch_score",
                "bootstrap_f1"}
 
