@@ -55,12 +55,14 @@ def replay(spark, args):
 
 def score_stream(spark, args):
     stream = read_message_stream(
-        spark, args.source, path=args.path, start=args.read_mode, options=_options(args.option)
+        spark, args.source, path=args.path, start=args.read_mode, checkpoint=args.checkpoint,
+        options=_options(args.option),
     )
     schema = StructType.fromDDL(args.schema)
     query = jobs.score_stream(
         stream, args.registry, args.model_name, schema, args.output, args.checkpoint,
-        alias=args.alias, every=args.every,
+        alias=args.alias, every=args.every, sink=args.sink, path=args.sink_path,
+        options=_options(args.sink_option),
     )
     finish(query, args.timeout_seconds)
     return read_progress(spark, args.output)
@@ -103,6 +105,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--option", action="append", default=[], help="name=value")
     sub.add_argument("--read-mode", choices=[EARLIEST, LATEST], default=EARLIEST)
     sub.add_argument("--alias", default="champion")
+    sub.add_argument("--sink", help="kafka or a file format: predictions go there too")
+    sub.add_argument("--sink-path")
+    sub.add_argument("--sink-option", action="append", default=[], help="name=value")
     sub.add_argument("--every", help="trigger interval; without it, take what is there and stop")
     sub.add_argument("--timeout-seconds", type=int)
     return top

@@ -26,7 +26,11 @@ def has_wrong_field_count() -> Column:
 
 
 def has_all_values(columns: tuple[str, ...] = TRANSACTION_COLUMNS) -> Column:
-    return _all([F.col(c).isNotNull() for c in columns])
+    """No null, and an amount that is a number: neither NaN nor infinite."""
+    given = [F.col(c).isNotNull() for c in columns]
+    if "tx_amount" in columns:
+        given.append(F.coalesce(F.abs(F.col("tx_amount")) < F.lit(float("inf")), F.lit(False)))
+    return _all(given)
 
 
 def is_in_range() -> Column:
@@ -65,7 +69,7 @@ def malformed_counts(raw: DataFrame) -> DataFrame:
 
 
 def keep_not_null(df: DataFrame) -> DataFrame:
-    return df.dropna("any", subset=list(TRANSACTION_COLUMNS))
+    return df.filter(has_all_values())
 
 
 def keep_business_ranges(df: DataFrame) -> DataFrame:

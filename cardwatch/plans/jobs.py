@@ -201,10 +201,17 @@ def score_stream(
     *,
     alias: str = CHAMPION,
     every: str | None = None,
+    sink: str | None = None,
+    path: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Score a message stream with whichever version holds ``alias`` at each batch."""
+    """Score a message stream with whichever version holds ``alias`` at each batch.
+
+    ``sink``, ``path`` and ``options`` name where predictions go besides ``out``.
+    """
     spark = messages.sparkSession
     supplier = reloading(
         lambda: registry.locate(spark, root, model_name, alias), modeling.load_model
     )
-    return start_scoring(messages, supplier, schema, out, checkpoint, alias=alias, every=every)
+    return start_scoring(messages, supplier, schema, out, checkpoint, alias=alias, every=every,
+                         sink=sink, path=path, options=options)

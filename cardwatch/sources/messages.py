@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -18,25 +19,41 @@ def read_message_stream(
     *,
     path: str | None = None,
     start: str = EARLIEST,
+    checkpoint: str | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Columns ``value`` and ``offset`` of a Kafka topic or of text files in a folder.
+    """Columns ``value``, ``partition`` and ``offset`` of a Kafka topic or of text files in a folder.
 
     Kafka needs its connector on the class path and ``kafka.bootstrap.servers`` and
-    ``subscribe`` in ``options``.  Files have no offset; ``latest`` there means files
-    changed after this call.
+    ``subscribe`` in ``options``.  Files have no partition and offset; ``latest`` there means files
+    changed after the first call for a ``checkpoint``: the instant is kept beside it, so a
+    restart takes up what came while the job was down.
     """
     if start not in (EARLIEST, LATEST):
         raise ValueError(f"start is {EARLIEST} or {LATEST}, not {start}")
     reader = spark.readStream.format(source).options(**(options or {}))
     if source == "kafka":
         stream = reader.option("startingOffsets", start).load()
-        return stream.select(F.col("value").cast("string").alias("value"), "offset")
+        return stream.select(F.col("value").cast("string").alias("value"), "partition", "offset")
     stream = reader.load(path)
     if start == LATEST:
-        now = F.timestamp_millis(F.lit(int(time.time() * 1000)))
+        if checkpoint is None:
+            raise ValueError(f"{LATEST} of files needs the query's checkpoint")
+        now = F.timestamp_millis(F.lit(_first_start(spark, f"{checkpoint.rstrip('/')}-start")))
         stream = stream.filter(F.col("_metadata.file_modification_time") > now)
-    return stream.select("value", F.lit(None).cast("bigint").alias("offset"))
+    return stream.select("value", F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"))
+
+
+def _first_start(spark: SparkSession, path: str) -> int:
+    """Milliseconds of the first start, written once and read ever after."""
+    try:
+        return int(spark.read.schema("value string").text(path).first().value)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    now = int(time.time() * 1000)
+    spark.createDataFrame([(str(now),)], "value string").coalesce(1).write.text(path)
+    return now
 
 
 def decode(messages: DataFrame, schema: StructType) -> DataFrame:

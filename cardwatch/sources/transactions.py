@@ -41,7 +41,9 @@ def parse_csv_lines(lines: DataFrame, column: str = "value", keep: bool = False)
 
     The row comes out of ``inline`` rather than a projection: filters on its fields
     then stay above the parser, which a pushed filter would call once per condition.
+    Blank lines are skipped, as a file scan does.
     """
+    lines = lines.filter(F.col(column).rlike(r"[^\x00-\x20]"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     row = F.from_csv(F.col(column), RAW_SCHEMA_WITH_CORRUPT.toDDL(), options)
     line = [F.col(column).alias("line")] if keep else []

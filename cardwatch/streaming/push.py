@@ -14,15 +14,15 @@ from pyspark.sql.types import StructType
 
 from cardwatch.operators.latest import latest_per_key
 from cardwatch.sinks.tables import publish, read_current
-from cardwatch.streaming.runs import batch_folder, read_batches, with_trigger
+from cardwatch.streaming.runs import batch_folder, read_batches, running_query, with_trigger
 
 
-def push_batch(rows: DataFrame, batch_id: int, root: str, key: str) -> None:
-    folder = batch_folder(f"{root}/history", batch_id)
+def push_batch(rows: DataFrame, batch_id: int, root: str, key: str, query_id: str = "none") -> None:
+    folder = batch_folder(f"{root}/history", query_id, batch_id)
     rows.write.mode("overwrite").parquet(folder)
     written = rows.sparkSession.read.schema(rows.schema).parquet(folder)
     latest_per_key(written, key).write.mode("overwrite").parquet(
-        batch_folder(f"{root}/changes", batch_id)
+        batch_folder(f"{root}/changes", query_id, batch_id)
     )
 
 
@@ -30,7 +30,7 @@ def start_push(
     rows: DataFrame, root: str, key: str, checkpoint: str, *, every: str | None = None
 ) -> StreamingQuery:
     writer = rows.writeStream.foreachBatch(
-        lambda batch, batch_id: push_batch(batch, batch_id, root, key)
+        lambda batch, batch_id: push_batch(batch, batch_id, root, key, running_query(batch))
     )
     return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
@@ -46,15 +46,17 @@ def read_latest(spark: SparkSession, root: str, key: str, schema: StructType) ->
     base = read_current(spark, f"{root}/base")
     if base is None:
         return latest_per_key(changes.select(names), key)
-    covered = base.agg(F.max("covers_batch")).first()[0]
-    if covered is not None:
-        changes = changes.filter(F.col("batch_id") > covered)
+    covered = base.select("covers").limit(1).first()
+    for query_id, batch_id in (covered.covers or {}).items() if covered else ():
+        changes = changes.filter((F.col("query_id") != query_id) | (F.col("batch_id") > batch_id))
     return latest_per_key(base.select(names).unionByName(changes.select(names)), key)
 
 
 def compact(spark: SparkSession, root: str, key: str, schema: StructType) -> int:
     """Publish the latest values as the new base; later reads skip folded changes."""
     changes = read_batches(spark, f"{root}/changes", schema)
-    last = changes.agg(F.max("batch_id")).first()[0]
+    last = {r.query_id: r.last for r in changes.groupBy("query_id").agg(F.max("batch_id").alias("last")).collect()}
     latest = read_latest(spark, root, key, schema)
-    return publish(latest.withColumn("covers_batch", F.lit(last).cast("bigint")), f"{root}/base")
+    pairs = [F.lit(x) for pair in last.items() for x in pair]
+    covers = (F.create_map(*pairs) if pairs else F.lit(None)).cast("map<string,bigint>")
+    return publish(latest.withColumn("covers", covers), f"{root}/base")

@@ -1,66 +1,44 @@
-"""Daily quality of the service as a stream, with late labels."""
+"""Daily quality of the service as a stream, with late labels.
+
+A micro-batch writes the confusion counts that its rows add to each day; reading sums them.  So
+rows may come in any order, in any number of files and batches and as late as they like, without state, and a
+replayed batch replaces its own counts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cardwatch.operators.confusion import confusion, false_positive_rate, recall
-from cardwatch.streaming.runs import batch_folder, read_batches, with_trigger
+from cardwatch.operators.confusion import false_positive_rate, recall
+from cardwatch.operators.monitoring import daily_cells
+from cardwatch.streaming.runs import batch_folder, read_batches, running_query, with_trigger
 
 DAY_SCHEMA = "day date, tp bigint, fp bigint, fn bigint, tn bigint"
 
 
-def utc_instant(wall_clock: Column) -> Column:
-    """A time without zone as the instant it names in UTC, in any session zone."""
-    return F.from_utc_timestamp(wall_clock.cast("timestamp"), F.current_timezone())
-
-
-def utc_date(instant: Column) -> Column:
-    return F.to_utc_timestamp(instant, F.current_timezone()).cast("date")
-
-
-def daily_cells_stream(
-    scored: DataFrame, time: str, label: str, prediction: str, lateness: str = "2 days"
-) -> DataFrame:
-    """Confusion counts per day; a day is open until ``lateness`` has passed.
-
-    State is one row of counters per open day, whatever the traffic.
-    """
-    counters = confusion(label, prediction)
-    return (
-        scored.withColumn("event_time", utc_instant(F.col(time)))
-        .withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 day"))
-        .agg(*[cell.alias(name) for name, cell in counters.items()])
-        .select(utc_date(F.col("window.start")).alias("day"), *counters)
-    )
-
-
 def start_daily_quality(
-    cells: DataFrame, out: str, checkpoint: str, *, every: str | None = None
+    scored: DataFrame, time: str, label: str, prediction: str, out: str, checkpoint: str, *,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Update mode: each batch writes the days it changed.
-
-    Append mode would hold back every day still inside the watermark.
-    """
+    """Count a stream of scored rows; ``time`` is a time without zone."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(batch_folder(out, batch_id))
+        cells = daily_cells(batch, time, label, prediction).select("day", "tp", "fp", "fn", "tn")
+        cells.write.mode("overwrite").parquet(batch_folder(out, running_query(batch), batch_id))
 
-    writer = cells.writeStream.outputMode("update").foreachBatch(write_batch)
+    writer = scored.writeStream.foreachBatch(write_batch)
     return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def read_daily_quality(spark: SparkSession, out: str) -> DataFrame:
-    """The newest counts of each day and its rates."""
-    rows = read_batches(spark, out, DAY_SCHEMA)
-    newest = F.max_by(F.struct("tp", "fp", "fn", "tn"), "batch_id").alias("cells")
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    """The counts of each day over all batches and its rates."""
+    cells = ("tp", "fp", "fn", "tn")
+    tp, fp, fn, tn = (F.col(c) for c in cells)
     return (
-        rows.groupBy("day")
-        .agg(newest)
-        .select("day", "cells.*")
+        read_batches(spark, out, DAY_SCHEMA)
+        .groupBy("day")
+        .agg(*[F.sum(c).alias(c) for c in cells])
         .select(
             "day",
             (tp + fp + fn + tn).alias("transactions"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
 def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -24,14 +24,20 @@ def finish(query: StreamingQuery, timeout_seconds: int | None = None) -> bool:
     return True if ended is None else ended
 
 
-def batch_folder(root: str, batch_id: int) -> str:
-    return f"{root}/batch_id={batch_id}"
+def running_query(batch: DataFrame) -> str:
+    """The id of the streaming query that runs this micro-batch; its checkpoint keeps it over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def batch_folder(root: str, query_id: str, batch_id: int) -> str:
+    """A replayed batch meets its own folder again; a query with a new checkpoint never does."""
+    return f"{root}/query_id={query_id}/batch_id={batch_id}"
 
 
 def read_batches(spark: SparkSession, root: str, schema: StructType | str) -> DataFrame:
-    """Everything the batches wrote, plus ``batch_id``; empty when nothing ran yet."""
+    """Everything the batches wrote, plus ``query_id`` and ``batch_id``; empty when nothing ran yet."""
     fields = spark.createDataFrame([], schema).schema.fields
-    full = StructType([*fields, StructField("batch_id", LongType())])
+    full = StructType([*fields, StructField("query_id", StringType()), StructField("batch_id", LongType())])
     try:
         return spark.read.schema(full).parquet(root)
     except AnalysisException as error:

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from cardwatch.operators.modeling import decode_prediction, fraud_probability
 from cardwatch.sinks.tables import DELIVERY
 from cardwatch.sources.messages import decode
-from cardwatch.streaming.runs import batch_folder, read_batches, with_trigger
+from cardwatch.streaming.runs import batch_folder, read_batches, running_query, with_trigger
 
 SCORED, REJECTED = "scored", "rejected"
 LABELS = ("fraud", "label")  # fixed values: never echoed in a prediction
@@ -25,9 +25,13 @@ PROGRESS_SCHEMA = "processed bigint, errors bigint, started_at timestamp, ended_
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def message_id(given: Column, offset: Column, text: Column) -> Column:
-    """The message's own id, else one from its offset, else from its text."""
-    fallback = F.coalesce(offset.cast("string"), F.sha2(text, 256))
+def message_id(given: Column, partition: Column, offset: Column, text: Column) -> Column:
+    """The message's own id, else one from its partition and offset, else from its text.
+
+    Offsets count within a partition; a source without partitions has the offset alone.
+    """
+    place = F.concat_ws("_", partition.cast("string"), offset.cast("string"))
+    fallback = F.when(offset.isNotNull(), place).otherwise(F.sha2(text, 256))
     return F.coalesce(given.cast("string"), F.concat(F.lit("unknown_"), fallback))
 
 
@@ -40,7 +44,7 @@ def envelope(inputs: StructType, alias: str) -> Column:
 
     kept = [F.col(f"message.{n}") for n in names if n not in LABELS]
     return F.struct(
-        message_id(given("transaction_id"), F.col("offset"), F.col("value")).alias("transaction_id"),
+        message_id(given("transaction_id"), F.col("partition"), F.col("offset"), F.col("value")).alias("transaction_id"),
         given("timestamp").alias("original_timestamp"),
         F.date_format(F.current_timestamp(), ISO).alias("processed_at"),
         decode_prediction(F.col("prediction")).alias("prediction"),
@@ -61,8 +65,10 @@ def score_messages(
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     wanted = assembler.getInputCols()
     # The message travels in one struct, so its columns cannot meet a feature's name.
+    if "partition" not in messages.columns:
+        messages = messages.withColumn("partition", F.lit(None).cast("int"))
     decoded = decode(messages, schema).select(
-        F.struct("value", "offset", "message", "problem").alias("__in"),
+        F.struct("value", "partition", "offset", "message", "problem").alias("__in"),
         *[F.col(f"message.{c}").alias(c) for c in wanted],
     )
     predicted = model.transform(decoded, {assembler.handleInvalid: "keep"}).select(
@@ -90,9 +96,15 @@ def start_scoring(
     *,
     alias: str = "champion",
     every: str | None = None,
+    sink: str | None = None,
+    path: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Write predictions and dead letters below ``out``, and a progress row per batch.
 
+    With ``sink`` the predictions also go to a topic (``kafka``) or to files below ``path``.
+    A replayed batch replaces its files; a topic gets its messages at least once.
+
     ``model_for_batch`` is asked once per micro-batch, so a promoted model takes over
     without a restart.  See :func:`reloading`.
     """
@@ -100,22 +112,38 @@ def start_scoring(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         started = time.time()
-        folder = batch_folder(f"{out}/messages", batch_id)
+        query_id = running_query(batch)
+        folder = batch_folder(f"{out}/messages", query_id, batch_id)
         score_messages(batch, model_for_batch(), schema, alias).write.mode(
             "overwrite"
         ).partitionBy("status").parquet(folder)
         written = spark.read.schema(OUTPUT_SCHEMA).parquet(folder)
+        if sink is not None:
+            place = None if path is None else batch_folder(path, query_id, batch_id)
+            send_messages(written.filter(F.col("status") == SCORED), sink, place, options)
         written.agg(
             F.count_if(F.col("status") == SCORED).alias("processed"),
             F.count_if(F.col("status") == REJECTED).alias("errors"),
             F.timestamp_millis(F.lit(int(started * 1000))).alias("started_at"),
             F.current_timestamp().alias("ended_at"),
-        ).write.mode("overwrite").parquet(batch_folder(f"{out}/progress", batch_id))
+        ).write.mode("overwrite").parquet(batch_folder(f"{out}/progress", query_id, batch_id))
 
     writer = messages.writeStream.foreachBatch(write_batch)
     return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
+def send_messages(
+    rows: DataFrame, sink: str, path: str | None = None, options: dict[str, str] | None = None
+) -> None:
+    """Write ``value`` to a topic, or to files in place of those at ``path``."""
+    settings = {**DELIVERY, **(options or {})} if sink == "kafka" else dict(options or {})
+    writer = rows.select("value").write.format(sink).options(**settings)
+    if path is None:
+        writer.save()
+    else:
+        writer.mode("overwrite").save(path)
+
+
 def reloading(
     locate: Callable[[], tuple[int, str]], load: Callable[[str], PipelineModel]
 ) -> Callable[[], PipelineModel]:

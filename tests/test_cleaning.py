@@ -115,3 +115,19 @@ def test_headed_csv_with_and_without_schema(spark, tmp_path):
     assert dict(transactions.read_headed_csv(spark, path).dtypes)["half"] == "double"
     stated = transactions.read_headed_csv(spark, path, "id bigint, half string")
     assert stated.dtypes == [("id", "bigint"), ("half", "string")]
+
+
+def test_both_scans_and_both_paths_agree(spark, tmp_path):
+    """NaN, infinite and blank faults get one answer from every way of cleaning."""
+    odd = [GOOD, "", "   ", "\t", "21,2019-08-22 10:00:00,1,1,NaN,1,1,0,0", "22,2019-08-22 10:00:00,1,1,Infinity,1,1,0,0",
+           "23,2019-08-22 10:00:00,1,1,-Infinity,1,1,0,0"]
+    path, out = f"file://{tmp_path}/raw", f"file://{tmp_path}/clean"
+    tables.write_log(lines(spark, odd), path)
+    parsed, scanned = transactions.parse_csv_lines(lines(spark, odd)), transactions.read_raw_csv(spark, path)
+    assert sorted(map(str, parsed.collect())) == sorted(map(str, scanned.collect()))
+    for rows in (parsed, scanned):
+        funnel = cleaning.funnel(rows).first()
+        assert (funnel.lines_read, funnel.dropped_type, funnel.rows_kept) == (4, 3, 1)
+        assert cleaning.clean(rows).count() == 1
+    report = jobs.clean_files(spark, path, out)
+    assert report.first().rows_kept == jobs.read_clean(spark, out).count() == 1

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from cardwatch.operators.monitoring import daily_cells
 from cardwatch.sinks import tables
 from cardwatch.sources.messages import as_messages, decode, read_message_stream
 from cardwatch.streaming import quality, scoring
@@ -25,15 +26,38 @@ def test_start_position(spark, tmp_path):
     topic = f"file://{tmp_path}/topic"
     send(spark, topic, ["old"])
     earliest = read_message_stream(spark, path=topic)
-    latest = read_message_stream(spark, path=topic, start="latest")
+    checkpoint = f"file://{tmp_path}/late-checkpoint"
+    latest = read_message_stream(spark, path=topic, start="latest", checkpoint=checkpoint)
     import time
 
     time.sleep(1.1)
     send(spark, topic, ["new"])
     assert collect_stream(spark, earliest, tmp_path, "all") == ["new", "old"]
     assert collect_stream(spark, latest, tmp_path, "late") == ["new"]
+    send(spark, topic, ["while it was down"])
+    again = read_message_stream(spark, path=topic, start="latest", checkpoint=checkpoint)
+    assert collect_stream(spark, again, tmp_path, "late") == ["new", "while it was down"]
     with pytest.raises(ValueError):
         read_message_stream(spark, path=topic, start="middle")
+    with pytest.raises(ValueError):
+        read_message_stream(spark, path=topic, start="latest")
+
+
+def test_a_new_checkpoint_overwrites_nothing(spark, tmp_path):
+    topic, out = f"file://{tmp_path}/topic", f"file://{tmp_path}/out"
+    rows = [(datetime(2024, 1, 1), 1, 1), (datetime(2024, 1, 1), 0, 0)]
+    spark.createDataFrame(rows, SCORED).write.parquet(topic)
+    for name in ("a", "b", "b"):
+        stream = spark.readStream.schema(spark.createDataFrame([], SCORED).schema).parquet(topic)
+        finish(quality.start_daily_quality(stream, "at", "y", "p", out, f"file://{tmp_path}/{name}"))
+    assert quality.read_daily_quality(spark, out).first().transactions == 4
+
+
+def test_ids_of_messages_with_equal_offsets(spark):
+    frame = spark.createDataFrame([(None, 0, 7, "x"), (None, 1, 7, "x"), (None, None, None, "x"), ("t", 0, 7, "x")],
+                                  "given string, partition int, offset long, value string")
+    got = [r.i for r in frame.select(scoring.message_id(F.col("given"), F.col("partition"), F.col("offset"), F.col("value")).alias("i")).collect()]
+    assert got[:2] == ["unknown_0_7", "unknown_1_7"] and got[2].startswith("unknown_2d71") and got[3] == "t"
 
 
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
@@ -63,7 +87,7 @@ def test_messages_leave_out_the_label_and_keep_nulls(spark):
 def test_daily_quality_over_several_batches(spark, tmp_path):
     rows = [(datetime(2024, 1, 1) + timedelta(hours=5 * i), i % 2, int(i % 3 == 0)) for i in range(40)]
     source = f"file://{tmp_path}/scored"
-    for part in (rows[:15], rows[15:30], rows[30:]):
+    for part in (rows[30:], rows[15:30], rows[:15]):
         spark.createDataFrame(part, SCORED).coalesce(1).write.mode("append").parquet(source)
     stream = (
         spark.readStream.schema(spark.createDataFrame([], SCORED).schema)
@@ -71,8 +95,7 @@ def test_daily_quality_over_several_batches(spark, tmp_path):
         .parquet(source)
     )
     out = f"file://{tmp_path}/daily"
-    cells = quality.daily_cells_stream(stream, "at", "y", "p", "30 days")
-    finish(quality.start_daily_quality(cells, out, f"file://{tmp_path}/checkpoint"))
+    finish(quality.start_daily_quality(stream, "at", "y", "p", out, f"file://{tmp_path}/checkpoint"))
     got = {r.day: r.transactions for r in quality.read_daily_quality(spark, out).collect()}
     expected = {}
     for at, _, _ in rows:
@@ -87,9 +110,8 @@ def test_days_do_not_depend_on_the_session_zone(spark, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         frame = spark.createDataFrame([("2024-01-05 23:30:00",), ("2024-01-05 00:10:00",)], "t string")
-        instant = quality.utc_instant(F.col("t").cast("timestamp_ntz"))
-        start = F.window(instant, "1 day").getField("start")
-        days = frame.select(quality.utc_date(start).cast("string").alias("d")).collect()
+        rows = frame.select(F.col("t").cast("timestamp_ntz").alias("t"), F.lit(1).alias("y"))
+        days = daily_cells(rows, "t", "y", "y").select(F.col("day").cast("string").alias("d")).collect()
         assert {r.d for r in days} == {"2024-01-05"}
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

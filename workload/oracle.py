@@ -481,6 +481,11 @@ BODIES = {
     "stream_score": """
         SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, 'champion' AS model_alias,
                true AS is_sound FROM tx WHERE transaction_id % 97 <> 0""",
+    "stream_scored_topic": """
+        SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, 'champion' AS model_alias,
+               true AS is_sound FROM tx WHERE transaction_id % 97 <> 0""",
+    "stream_new_checkpoint": """
+        SELECT user_id AS driver_id, 2 * count(*) AS history_rows FROM events GROUP BY 1""",
     "stream_exactly_once": """
         SELECT CASE WHEN transaction_id % 97 = 0 THEN 'rejected' ELSE 'scored' END AS status,
                count(*) AS messages FROM tx GROUP BY 1""",

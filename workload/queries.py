@@ -347,6 +347,7 @@ def prediction_envelope(spark, sf):
     framed = rows.select(
         body.alias("message"),
         F.to_json(body).alias("value"),
+        F.lit(None).cast("int").alias("partition"),
         F.col("transaction_id").alias("offset"),
         F.col("pred_a").cast("double").alias("prediction"),
         (F.col("score_a") / 1000).alias("fraud_probability"),
@@ -798,6 +799,30 @@ def stream_score(spark, sf):
     return rows.select("transaction_id", "model_alias", sound.alias("is_sound"))
 
 
+@query
+def stream_scored_topic(spark, sf):
+    """The predictions as they reach the topic."""
+    model, topic = fit(views.training(views.tx(spark, sf)), "rf"), scratch_path(spark, "topic")
+    finish(scoring.start_scoring(
+        message_stream(spark, sf), lambda: model, views.MESSAGE_SCHEMA, scratch_path(spark, "predictions"),
+        scratch_path(spark, "checkpoint"), sink="text", path=topic))
+    schema = "transaction_id string, prediction int, probability double, model_alias string"
+    rows = spark.read.text(topic).select(F.from_json("value", schema).alias("m")).select("m.*")
+    sound = F.col("prediction").isin(0, 1) & F.col("probability").between(0, 1)
+    return rows.select("transaction_id", "model_alias", sound.alias("is_sound"))
+
+
+@query
+def stream_new_checkpoint(spark, sf):
+    """Two queries with checkpoints of their own add their batches to one history."""
+    root, rows = scratch_path(spark, "pushed"), views.events_stream(spark, sf).select("user_id", "event_id", "ts")
+    fresh = rows.select(F.col("user_id").alias(KEY), F.col("ts").alias("event_timestamp"), F.col("ts").alias("created"), "event_id")
+    for _ in range(2):
+        finish(push.start_push(fresh, root, KEY, scratch_path(spark, "checkpoint")))
+    history = push.read_history(spark, root, fresh.schema)
+    return history.groupBy(KEY).agg(F.count(F.lit(1)).alias("history_rows"))
+
+
 @query
 def stream_exactly_once(spark, sf):
     rows = scoring.read_outputs(spark, _scored_stream(spark, sf, runs=2))
@@ -866,8 +891,8 @@ def materialize_incremental(spark, sf):
 def stream_daily_quality(spark, sf):
     out = scratch_path(spark, "daily")
     stream = views.with_scores(views.transactions(views.events_stream(spark, sf)))
-    cells = stream_quality.daily_cells_stream(stream, "tx_datetime", "tx_fraud", "pred_b")
-    finish(stream_quality.start_daily_quality(cells, out, scratch_path(spark, "checkpoint")))
+    finish(stream_quality.start_daily_quality(
+        stream, "tx_datetime", "tx_fraud", "pred_b", out, scratch_path(spark, "checkpoint")))
     return _rounded(stream_quality.read_daily_quality(spark, out))
 
 
