@@ -5,8 +5,8 @@ entity's time, not older than the time-to-live; ties go to the newest ``created`
 
 Both sides are stacked and a running maximum over time carries the newest source row
 to the entity rows: one shuffle in which every row travels once.  A window by key
-alone would put all rows of a key into one task, so the heaviest key is measured
-first.  When it is too heavy, time is cut into slices and the window runs by (key,
+alone would put all rows of a key into one task, so the keys are measured
+first.  When one is too heavy, time is cut into slices and the window runs by (key,
 slice).  What a slice inherits from earlier ones is one source row per key, found from
 per-slice maxima that are combined before their shuffle; the heaviest key contributes
 one row per slice there.
@@ -39,20 +39,32 @@ class Lookup:
     ttl: timedelta | None = None
 
 
+def _all_given(columns: list[str]) -> Column:
+    """Plain null tests, which reach the scan."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def slice_width_for(rows: DataFrame, keys: list[str], at: str, rows_per_key: int) -> str | None:
-    """A width that cuts the heaviest key into slices of a quarter of the limit.
+    """A width that leaves no (key, slice) over the limit, or None when no key exceeds it.
 
-    None when no key exceeds the limit.  The counts are combined before the shuffle and
-    one row comes back.
+    It starts from a quarter of the limit for every heavy key, as if its rows were spread
+    evenly, and shrinks until the densest slice fits; rows at one instant cannot be cut.  All
+    counts are combined before the shuffle and one row comes back.
     """
     per_key = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.timestamp_diff("SECOND", F.min(at), F.max(at)).alias("span")
     )
-    heaviest = per_key.agg(F.max(F.struct("n", F.coalesce("span", F.lit(0))))).first()[0]
-    if heaviest is None or heaviest[0] <= rows_per_key:
+    even = F.floor(1000 * F.coalesce("span", F.lit(0)) * rows_per_key / (4 * F.col("n")))
+    width = per_key.filter(F.col("n") > rows_per_key).agg(F.min(even)).first()[0]
+    if width is None:
         return None
-    rows_in_key, seconds = heaviest
-    return f"{max(1, 1000 * seconds * rows_per_key // (4 * rows_in_key))} milliseconds"
+    width = max(1, width)
+    while True:
+        counts = rows.groupBy(*keys, F.window(at, f"{width} milliseconds")).agg(F.count(F.lit(1)).alias("n"))
+        densest = counts.agg(F.max("n")).first()[0]
+        if densest <= rows_per_key or width == 1:
+            return f"{width} milliseconds"
+        width = max(1, min(width // 8, width * rows_per_key // (2 * densest)))
 
 
 def _sliced(rows: DataFrame, width: str) -> DataFrame:
@@ -106,13 +118,13 @@ def point_in_time_join(
     if created is not None:
         ranked.append(F.col(created).alias("created"))
     visible = F.greatest(source_time, created) if as_known and created else F.col(source_time)
-    feature_rows = source.dropna("any", subset=[*keys, source_time]).select(
+    feature_rows = source.filter(_all_given([*keys, source_time])).select(
         *keys,
         visible.alias(_AT),
         F.struct(*ranked, F.struct(*needed).alias("row")).alias(_NEWEST),
     )
     # Rows without a key or time match nothing; they would pile up in one group.
-    answerable = reduce(and_, [F.col(c).isNotNull() for c in (*keys, entity_time)])
+    answerable = _all_given([*keys, entity_time])
     entity_rows = entities.filter(answerable).select(
         *keys, F.col(entity_time).alias(_AT), F.struct("*").alias(_ENTITY)
     )
@@ -165,7 +177,7 @@ def join_at(
     """
     keys = [key] if isinstance(key, str) else list(key)
     now = F.lit(instant).cast(source.schema[source_time].dataType)
-    recent = source.dropna("any", subset=keys).filter(F.col(source_time) <= now)
+    recent = source.filter(_all_given(keys)).filter(F.col(source_time) <= now)
     spans = [lookup.ttl for lookup in lookups]
     if None not in spans:
         recent = recent.filter(F.col(source_time) >= now - F.lit(max(spans)))

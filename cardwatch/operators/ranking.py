@@ -3,7 +3,8 @@
 Area under the ROC curve and threshold choice need running totals over all scores.
 Scores are grouped first (hot values collapse before the shuffle), cut into slices at
 approximate quantiles, summed inside each slice, and offset by the totals of the
-higher slices, of which there are at most a few thousand per group.
+higher slices.  There is one slice for every ``ROWS_PER_SLICE`` rows, so the window tasks
+do not grow with the table; the totals have one row per slice and group.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _SLICE = "__slice"
+LEAST_SLICES, ROWS_PER_SLICE = 256, 2_000_000
 
 
 def _slice_bounds(df: DataFrame, score: str, slices: int) -> list[float]:
@@ -29,14 +31,17 @@ def ranked_counts(
     score: str,
     label: str,
     keys: tuple[str, ...] = (),
-    slices: int = 256,
+    slices: int | None = None,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Per group and distinct score: ``positives``/``negatives`` with exactly this
     score, ``true_positives``/``false_positives`` with at least it, and the group's
-    ``all_positives``/``all_negatives``.
+    ``all_positives``/``all_negatives``.  ``slices`` is counted from the rows unless given.
     """
     rows = df.select(*keys, F.col(score).cast("double").alias(score), label)
     rows = rows.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    if slices is None:
+        slices = max(LEAST_SLICES, math.ceil(rows.count() / rows_per_slice))
     bounds = _slice_bounds(rows, score, slices)
     grouped = rows.groupBy(*keys, score).agg(
         F.count_if(F.col(label) == 1).alias("positives"),
@@ -59,8 +64,6 @@ def ranked_counts(
         F.sum("p").over(group).alias("all_positives"),
         F.sum("n").over(group).alias("all_negatives"),
     )
-    if not keys:
-        offsets = F.broadcast(offsets)
     inside = Window.partitionBy(*keys, _SLICE).orderBy(F.desc(score))
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return grouped.join(offsets, [*keys, _SLICE]).select(
@@ -76,7 +79,7 @@ def ranked_counts(
 
 
 def area_under_roc(
-    df: DataFrame, score: str, label: str, keys: tuple[str, ...] = (), slices: int = 256
+    df: DataFrame, score: str, label: str, keys: tuple[str, ...] = (), slices: int | None = None
 ) -> DataFrame:
     """Exact area, ties counting one half; null when a class is absent."""
     counts = ranked_counts(df, score, label, keys, slices)
@@ -98,7 +101,7 @@ def select_threshold(
     label: str,
     beta: float = 0.5,
     max_fpr: float = 0.05,
-    slices: int = 256,
+    slices: int | None = None,
 ) -> DataFrame:
     """The score limit with the best F-beta among those within ``max_fpr``.
 

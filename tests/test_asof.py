@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from cardwatch.operators import asof
 from cardwatch.operators.asof import Lookup, join_at, point_in_time_join
 from cardwatch.operators.latest import latest_per_key, lookup_latest, materialize
 
@@ -157,3 +158,29 @@ def test_one_instant_reads_its_time_range_only(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(event_timestamp" in plan and "LessThanOrEqual(event_timestamp" in plan
+
+
+def test_no_slice_of_any_heavy_key_exceeds_the_limit(spark):
+    """Heavy keys of different span and a burst: the width fits the densest of them."""
+    start, limit = datetime(2020, 1, 1), 100
+    rows = [(1, start + timedelta(days=3 * i)) for i in range(1000)]
+    rows += [(2, start + timedelta(seconds=60 * i)) for i in range(999)]
+    rows += [(3, start + timedelta(days=i)) for i in range(500)]
+    rows += [(3, start + timedelta(days=7, milliseconds=20 * i)) for i in range(600)]
+    frame = spark.createDataFrame(rows, "k int, t timestamp_ntz")
+    width = asof.slice_width_for(frame, ["k"], "t", limit)
+    counts = frame.groupBy("k", F.window("t", width)).count()
+    assert counts.agg(F.max("count")).first()[0] <= limit
+    assert asof.slice_width_for(frame, ["k"], "t", 5000) is None
+    same = spark.createDataFrame([(1, start)] * 300, "k int, t timestamp_ntz")
+    assert asof.slice_width_for(same, ["k"], "t", limit) == "1 milliseconds"
+
+
+def test_null_tests_reach_the_scan(spark, tmp_path):
+    path = f"file://{tmp_path}/source"
+    spark.createDataFrame([(1, datetime(2020, 1, 1), datetime(2020, 1, 1), 2.0)], "k int, event_timestamp timestamp_ntz, created timestamp_ntz, v double").write.parquet(path)
+    source = spark.read.parquet(path)
+    entities = source.select("k", "event_timestamp")
+    joined = asof.point_in_time_join(entities, source, [asof.Lookup({"v": "v"})], "k")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedFilters: []") == 0

@@ -137,3 +137,11 @@ def test_approximate_summary_has_the_same_columns(spark):
         "customer_id bigint, terminal_id bigint, tx_amount double, tx_fraud int",
     )
     assert quality.summary(df, True).first() == quality.summary(df).first()
+
+
+def test_more_slices_than_the_least(spark):
+    rows = spark.range(3000).selectExpr("(id * 7919 % 3000) / 3000 as s", "cast(id % 3 = 0 as int) as y")
+    few = ranking.area_under_roc(rows, "s", "y").first().auc
+    counts = ranking.ranked_counts(rows, "s", "y", rows_per_slice=5)
+    assert ranking.area_under_roc(rows, "s", "y", slices=600).first().auc == pytest.approx(few, abs=1e-12)
+    assert counts.count() == 3000 and counts.agg({"true_positives": "max"}).first()[0] == 1000
