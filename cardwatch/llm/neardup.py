@@ -12,7 +12,7 @@ similarity of ``percent`` hundredths and a document of n distinct shingles:
 
 Equal sets are one node, whatever the number of copies.  Candidates of a shared shingle are not
 all paired: in a few rounds each is compared with some of them (``LEADERS``, drawn anew per shingle and round), and
-then only pairs whose components still differ are compared one by one.  No link between
+then only pairs that are not yet known to be of one component are compared one by one.  No link between
 different components is missed, so components are exact; pairs inside a component are not enumerated.
 
 Which shingles count as frequent only affects speed; the ``HOT_GRAMS`` most frequent go to all
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cardwatch.llm.components import components
 from cardwatch.llm.fragments import PACKED, Packer, tally
@@ -42,6 +42,7 @@ FRAGMENT_GRAMS = 1_500_000
 FIRST_PART = 0.3
 SEGMENTS = 4
 LEADERS = (1, 8, 8)
+STAR_STEPS = 2
 LEAST_BITS = 7
 LOOK_BACK = 64
 BROADCAST_NODES = 1_000_000
@@ -194,8 +195,9 @@ def _side(frame: DataFrame, name: str) -> DataFrame:
     return frame.select("gram", F.col("node").alias(name), *rest)
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, tested: DataFrame | None, on: list[str]) -> DataFrame:
-    joined = left.join(right, on).filter((F.col("label_a") != F.col("label_b")) & _fit("a", "b", percent))
+def _pairs(left: DataFrame, right: DataFrame, percent: int, tested: DataFrame | None, which: Column) -> DataFrame:
+    """Pairs of nodes with a common shingle and different labels that have not been tested."""
+    joined = left.join(right, "gram").filter((F.col("label_a") != F.col("label_b")) & which & _fit("a", "b", percent))
     if "earlier_a" in joined.columns:  # a pair is met at its first common shingle
         joined = joined.filter(~F.arrays_overlap("earlier_a", "earlier_b"))
     swap = F.col("a") > F.col("b")
@@ -231,19 +233,19 @@ def _link(members: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
                      for i in range(leads)]
             leaders = marked.groupBy("gram").agg(F.array_distinct(F.array(*drawn)).alias("leads"))
             leaders = leaders.select("gram", F.explode("leads").alias("lead")).select("gram", "lead.*")
-            pairs = _pairs(_side(marked, "a"), _side(leaders, "b"), percent, tested, ["gram"])
+            pairs = _pairs(_side(marked, "a"), _side(leaders, "b"), percent, tested, F.lit(True))
         else:
             marked = _with_earlier(marked)
-            groups = marked.select("gram", "label").distinct()
-            low = groups.select("gram", F.col("label").alias("label_a"))
-            cross = low.join(groups.select("gram", F.col("label").alias("label_b")), "gram").filter("label_a < label_b")
-            pairs = _pairs(cross.join(_side(marked, "a"), ["gram", "label_a"]), _side(marked, "b"), percent, tested,
-                           ["gram", "label_b"])
+            sizes = marked.groupBy("gram", "label").agg(F.count("*").alias("nodes"))
+            largest = sizes.groupBy("gram").agg(F.max(F.struct("nodes", "label"))["label"].alias("largest"))
+            smaller = _side(marked, "a").join(largest, "gram").filter("label_a <> largest")
+            once = (F.col("label_b") == F.col("largest")) | (F.col("a") < F.col("b"))
+            pairs = _pairs(smaller, _side(marked, "b"), percent, tested, once)
         pairs = written(pairs, f"pairs-{step}")
         found = written(_verified(pairs, segments, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "found")
         tested = pairs if tested is None else tested.select("a", "b").union(pairs.select("a", "b"))
-        labels = components(found if links is None else links.union(found))
-        links = labels.select(F.col("node").alias("u"), F.col("label").alias("v"))
+        links = found if links is None else links.union(found)
+        labels = components(links, steps=STAR_STEPS) if leads else components(links)
     return labels
 
 
