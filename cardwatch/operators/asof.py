@@ -166,7 +166,7 @@ def join_at(
     instant,
     *,
     source_time: str = "event_timestamp",
-    created: str = "created",
+    created: str | None = "created",
     as_known: bool = False,
 ) -> DataFrame:
     """The same for entity rows that all ask for one instant, as batch scoring does.
@@ -181,11 +181,12 @@ def join_at(
     spans = [lookup.ttl for lookup in lookups]
     if None not in spans:
         recent = recent.filter(F.col(source_time) >= now - F.lit(max(spans)))
-    if as_known:
+    if as_known and created is not None:
         recent = recent.filter(F.col(created) <= now)
     needed = sorted({c for lookup in lookups for c in lookup.columns.values()})
     newest = latest_per_key(
-        recent.select(*keys, source_time, created, *needed), keys, time=source_time, created=created
+        recent.select(*keys, source_time, *([created] if created else []), *needed), keys,
+        time=source_time, created=created,
     )
     picked = _pick(lookups, F.col(source_time), now, F.col)
     names = [name for lookup in lookups for name in lookup.columns]

@@ -10,15 +10,16 @@ def latest_per_key(
     key: str | list[str],
     *,
     time: str = "event_timestamp",
-    created: str = "created",
+    created: str | None = "created",
 ) -> DataFrame:
-    """The newest row of each key; ties by ``created``, then by the other columns.
+    """The newest row of each key; ties by ``created`` if there is one, then by the other columns.
 
     Taken before the shuffle too, so a key with many rows sends one per task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    others = [c for c in source.columns if c not in (*keys, time, created)]
-    newest = F.max(F.struct(time, created, *others)).alias("newest")
+    first = [time] if created is None else [time, created]
+    others = [c for c in source.columns if c not in (*keys, *first)]
+    newest = F.max(F.struct(*first, *others)).alias("newest")
     return source.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(source.columns)
 
 
@@ -30,15 +31,17 @@ def materialize(
     end,
     start=None,
     time: str = "event_timestamp",
-    created: str = "created",
+    created: str | None = "created",
 ) -> DataFrame:
     """Latest values as of ``end``, from the previous table and rows in (start, end].
 
-    The time filter reaches the scan, so a step reads its own interval only.
+    Rows of an earlier time that were ``created`` after ``start`` came too late for the step
+    before and are taken up as well; without ``created`` they are not seen.  The filters reach the scan.
     """
     fresh = source.filter(F.col(time) <= F.lit(end))
     if start is not None:
-        fresh = fresh.filter(F.col(time) > F.lit(start))
+        since = F.col(time) > F.lit(start)
+        fresh = fresh.filter(since if created is None else since | (F.col(created) > F.lit(start)))
     step = latest_per_key(fresh, key, time=time, created=created)
     if previous is None:
         return step

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from cardwatch.operators import abtest, cleaning, modeling, quality, splits
+from cardwatch.operators import abtest, cleaning, latest, modeling, quality, splits
 from cardwatch.operators.champions import CHALLENGER, CHAMPION
 from cardwatch.operators.confusion import joint_cells
 from cardwatch.operators.rows import side_by_side
@@ -215,3 +215,27 @@ def score_stream(
     )
     return start_scoring(messages, supplier, schema, out, checkpoint, alias=alias, every=every,
                          sink=sink, path=path, options=options)
+
+
+def materialize_to(
+    source: DataFrame,
+    root: str,
+    key: str | list[str],
+    end,
+    *,
+    time: str = "event_timestamp",
+    created: str | None = "created",
+) -> int:
+    """Publish the latest values as of ``end`` below ``root`` and remember how far they reach.
+
+    The next call starts from there, so only its end has to be given.  Returns the version.
+    """
+    spark = source.sparkSession
+    previous = tables.read_current(spark, root)
+    reached = None if previous is None else previous.select("covered_until").limit(1).first()
+    before = None if previous is None else previous.drop("covered_until")
+    rows = latest.materialize(
+        source, before, key, start=None if reached is None else reached[0], end=end, time=time, created=created
+    )
+    kind = source.schema[time].dataType
+    return tables.publish(rows.withColumn("covered_until", F.lit(end).cast(kind)), root)

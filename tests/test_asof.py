@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwatch.operators import asof
+from cardwatch.plans import jobs
+from cardwatch.sinks import tables
 from cardwatch.operators.asof import Lookup, join_at, point_in_time_join
 from cardwatch.operators.latest import latest_per_key, lookup_latest, materialize
 
@@ -184,3 +186,21 @@ def test_null_tests_reach_the_scan(spark, tmp_path):
     joined = asof.point_in_time_join(entities, source, [asof.Lookup({"v": "v"})], "k")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PushedFilters: []") == 0
+
+
+def test_materialization_remembers_its_end_and_takes_late_rows(spark, tmp_path):
+    def at(day):
+        return datetime(2024, 1, day)
+
+    schema = "k int, event_timestamp timestamp_ntz, created timestamp_ntz, v int"
+    rows = [(1, at(1), at(1), 1), (1, at(3), at(9), 2), (2, at(2), at(2), 3), (2, at(12), at(12), 4)]
+    root = f"file://{tmp_path}/latest"
+    jobs.materialize_to(spark.createDataFrame([rows[0], rows[2]], schema), root, "k", at(5))
+    jobs.materialize_to(spark.createDataFrame(rows, schema), root, "k", at(10))
+    current = tables.read_current(spark, root)
+    assert {r.k: (r.v, r.covered_until) for r in current.collect()} == {1: (2, at(10)), 2: (3, at(10))}
+    bare = spark.createDataFrame(rows, schema).drop("created")
+    assert {r.k: r.v for r in latest_per_key(bare, "k", created=None).collect()} == {1: 2, 2: 4}
+    asked = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    got = join_at(asked, bare, [Lookup({"v": "v"})], "k", at(10), created=None)
+    assert {r.k: r.v for r in got.collect()} == {1: 2, 2: 3, 3: None}
