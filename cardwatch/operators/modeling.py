@@ -92,13 +92,13 @@ def cross_validate(
 
 
 def grid_results(tuned: CrossValidatorModel, spark) -> DataFrame:
-    """One row per grid point: its parameters and mean AUC."""
-    points = zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics)
-    rows = [
-        ({param.name: float(value) for param, value in point.items()}, float(auc))
-        for point, auc in points
-    ]
-    return spark.createDataFrame(rows, "params map<string,double>, auc double")
+    """One row per grid point: its parameters, mean AUC, and whether the model was refitted with it."""
+    best = best_params(tuned.bestModel)
+    rows = []
+    for point, auc in zip(tuned.getEstimatorParamMaps(), tuned.avgMetrics):
+        params = {param.name: float(value) for param, value in point.items()}
+        rows.append((params, float(auc), params == best))
+    return spark.createDataFrame(rows, "params map<string,double>, auc double, is_best boolean")
 
 
 def best_params(model: PipelineModel) -> dict[str, float]:

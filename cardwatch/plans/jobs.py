@@ -107,17 +107,28 @@ def train(
     folds: int = 3,
     parallelism: int = 2,
 ) -> DataFrame:
-    """Tune, evaluate on the held-out part, save, register; returns one row of metrics."""
+    """Tune, evaluate on the held-out part, save, register; returns one row of metrics.
+
+    Below ``{root}/runs/{run_id}`` stay both parts, written once before all fits, the calls on the test
+    part, and ``record``: the grid with its scores, the chosen point and the sizes of the parts.
+    """
     spark = table.sparkSession
     features = modeling.numeric_features(table, label, (key, *exclude))
     train_part, test_part = splits.train_test(table.select(key, *features, label), key)
-    folded = splits.with_fold(train_part, key, folds)
+    run = f"{root}/runs/{run_id}"
+    tables.write_table(splits.with_fold(train_part, key, folds), f"{run}/train")
+    tables.write_table(test_part, f"{run}/test")
+    folded, test_part = spark.read.parquet(f"{run}/train"), spark.read.parquet(f"{run}/test")
     tuned = modeling.cross_validate(
         folded, features, label, kind, folds=folds, parallelism=parallelism
     )
     path = f"{root}/models/{run_id}"
     modeling.save_model(tuned.bestModel, path)
-    scored = scratch_path(spark, "test-calls")
+    sizes = {"train_rows": folded.count(), "test_rows": test_part.count()}
+    record = modeling.grid_results(tuned, spark).select(
+        F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"), "*", *[F.lit(n).alias(c) for c, n in sizes.items()])
+    tables.write_table(record, f"{run}/record")
+    scored = f"{run}/test-calls"
     tables.write_table(modeling.calls(modeling.score(tuned.bestModel, test_part), label), scored)
     measured = f"{root}/metrics/{run_id}"
     tables.write_table(modeling.evaluate(spark.read.parquet(scored)), measured)

@@ -137,6 +137,10 @@ def test_train_compare_and_score_a_stream(spark, tmp_path):
     rows = table(spark)
     first = jobs.train(rows, root, "fraud", "r1", key="tx", kind="lr", folds=2).first()
     assert first.auc > 0.8
+    record = spark.read.parquet(f"{root}/runs/r1/record").collect()
+    assert len(record) == 3 and sum(r.is_best for r in record) == 1
+    assert max(record, key=lambda r: r.auc).auc == next(r.auc for r in record if r.is_best)
+    assert record[0].train_rows + record[0].test_rows == rows.count()
     jobs.train(rows, root, "fraud", "r2", key="tx", kind="lr", folds=2)
     held = {r.alias: r.version for r in registry.versions(spark, root).collect()}
     assert held == {"champion": 1, "challenger": 2}

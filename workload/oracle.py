@@ -481,6 +481,10 @@ BODIES = {
     "stream_score": """
         SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, 'champion' AS model_alias,
                true AS is_sound FROM tx WHERE transaction_id % 97 <> 0""",
+    "run_record": """
+        SELECT CAST(num_trees AS DOUBLE) AS num_trees, CAST(max_depth AS DOUBLE) AS max_depth, true AS is_plausible,
+               CAST(1 AS BIGINT) AS best_points, (SELECT count(*) FROM tx) AS rows
+        FROM (VALUES (10, 5), (10, 10), (20, 5), (20, 10)) AS grid(num_trees, max_depth)""",
     "stream_scored_topic": """
         SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, 'champion' AS model_alias,
                true AS is_sound FROM tx WHERE transaction_id % 97 <> 0""",

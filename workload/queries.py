@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardwatch.functions import on_demand, parsing
 from cardwatch.functions.hashing import fold_number, key_bucket
@@ -652,6 +652,21 @@ def cross_validate(spark, sf):
     )
 
 
+@query
+def run_record(spark, sf):
+    """What the training job keeps of its grid: every point, one of them chosen."""
+    root = scratch_path(spark, "registry")
+    jobs.train(views.training(views.tx(spark, sf)), root, "fraud", "r1", key=IDS[0], exclude=IDS[1:], parallelism=4)
+    record = spark.read.parquet(f"{root}/runs/r1/record")
+    return record.select(
+        F.col("params.numTrees").alias("num_trees"),
+        F.col("params.maxDepth").alias("max_depth"),
+        F.col("auc").between(0.5, 1.0).alias("is_plausible"),
+        F.sum(F.col("is_best").cast("bigint")).over(Window.partitionBy("run_id")).alias("best_points"),
+        (F.col("train_rows") + F.col("test_rows")).alias("rows"),
+    )
+
+
 @query
 def best_params(spark, sf):
     best = modeling.best_params(_tuned(spark, sf).bestModel)
