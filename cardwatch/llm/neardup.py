@@ -41,7 +41,7 @@ HOT_DOCUMENTS = 48
 FRAGMENT_GRAMS = 1_500_000
 FIRST_PART = 0.3
 SEGMENTS = 4
-LEADERS = (1, 8, 8)
+LEADERS = (1, 24)
 STAR_STEPS = 2
 LEAST_BITS = 7
 LOOK_BACK = 64
