@@ -95,14 +95,14 @@ def test_run_index():
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 90))) for _ in range(60)]
     document = np.sort(np.array([rng.randrange(40) for _ in strings]))
     first = np.cumsum([0] + [len(s) for s in strings])
-    index = RunIndex.build(np.frombuffer(b"".join(strings), np.uint8), first, document, 6)
-    number, start, least = index.earliest(np.diff(first), 6)
+    index = RunIndex.build(np.frombuffer(b"".join(strings), np.uint8), first, document, 9)
+    number, start, least = index.earliest(np.diff(first), 9)
     want = {}
     for d, s in zip(document, strings):
-        for p in range(len(s) - 5):
-            want[s[p : p + 6]] = min(want.get(s[p : p + 6], 99), d)
-    assert len(number) == sum(max(0, len(s) - 5) for s in strings)
-    assert all(want[strings[i][p : p + 6]] == m for i, p, m in zip(number, start, least))
+        for p in range(len(s) - 8):
+            want[s[p : p + 9]] = min(want.get(s[p : p + 9], 99), d)
+    assert len(number) == sum(max(0, len(s) - 8) for s in strings)
+    assert all(want[strings[i][p : p + 9]] == m for i, p, m in zip(number, start, least))
 
 
 def test_lines(spark):
