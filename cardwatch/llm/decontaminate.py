@@ -7,7 +7,9 @@ cannot be similar and are skipped.  The others get a 128-bit SimHash; a multi-in
 fingerprints that near agree on a whole block.  Candidates are verified by the exact weighted
 similarity of their shingles: sum of the smaller over sum of the larger counts, 0.8 or more.
 
-``RADIUS`` = 36 lies four standard deviations above the distance that similarity 0.8 gives.
+``RADIUS`` = 36 lies four standard deviations above the distance that similarity 0.8 gives if no
+shingle is repeated.  A repeated shingle can turn many bits at once, so windows and items with one
+are compared without fingerprints: their common weight is counted for every window.
 
 Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased.  A text of fewer words than a
 shingle is one shingle and only matches equal texts.  Null and empty texts, documents or items,
@@ -62,6 +64,35 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.minimum(x, y).sum() / np.maximum(x, y).sum())
 
 
+def _latest_repeat(hashes: np.ndarray) -> np.ndarray:
+    """For each place, the last place up to which a shingle seen by then was seen before; -1 for none."""
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    before = np.full(len(hashes), -1)
+    before[order[1:][same]] = order[:-1][same]
+    return np.maximum.accumulate(before)
+
+
+def window_similarities(hashes: np.ndarray, size: int, part: np.ndarray, least: float) -> np.ndarray:
+    """The weighted similarity of ``part`` and every window of ``size``; 0 for all if none reaches ``least``."""
+    def windows(here: np.ndarray) -> np.ndarray:
+        running = np.zeros(len(here) + 1, np.int64)
+        np.cumsum(here, out=running[1:])
+        return running[size:] - running[:-size]
+
+    keys, counts = np.unique(part, return_counts=True)
+    place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+    shared = keys[place] == hashes
+    common, whole = windows(shared), size + len(part)
+    if (common / (whole - common) < least).all():
+        return np.zeros(len(common))
+    seen = np.bincount(place[shared], minlength=len(keys))
+    common = windows(shared & (seen[place] <= counts[place]))
+    for g in np.flatnonzero(seen > counts):
+        common += np.minimum(windows(shared & (place == g)), counts[g])
+    return common / (whole - common)
+
+
 def _blocks(bits: np.ndarray) -> np.ndarray:
     """One small number for each of the RADIUS + 1 blocks of a row of bits."""
     edges = np.linspace(0, bits.shape[1], RADIUS + 2).astype(int)
@@ -82,6 +113,7 @@ class Items:
     known: np.ndarray
     holders: np.ndarray
     first: np.ndarray
+    repeated: np.ndarray | None = None
 
     @staticmethod
     def of(rows: pa.Table, k: int) -> "Items":
@@ -100,7 +132,7 @@ class Items:
         order = np.argsort(flat, kind="stable")
         known, first = np.unique(flat[order], return_index=True)
         return Items(np.array(ids, np.int64), parts, prints, _blocks(prints), known, owner[order],
-                     np.append(first, len(flat)))
+                     np.append(first, len(flat)), np.array([len(np.unique(p)) < len(p) for p in parts], bool))
 
     def near(self, sizes_of: np.ndarray, bits: np.ndarray) -> list[tuple[int, int]]:
         """(window, item) pairs of the items ``sizes_of`` within the radius, by way of the blocks."""
@@ -138,14 +170,28 @@ def matches(hashes: np.ndarray, items: Items, least: float) -> dict[int, tuple[f
     found = np.unique(place[hits])
     touched = np.unique(np.concatenate([items.holders[items.first[g] : items.first[g + 1]] for g in found]))
     sizes = np.array([min(len(items.parts[i]), n) for i in touched])
-    for size in np.unique(sizes):
+    repeat = _latest_repeat(hashes)
+
+    def offer(i: int, value: float, at: int, size: int) -> None:
+        if value >= least and (i not in best or (value, -at) > (best[i][0], -best[i][1])):
+            best[i] = (value, at, size)
+
+    for size in map(int, np.unique(sizes)):
         of_size = touched[sizes == size]
-        for a, b in _runs(hits, int(size), n):
-            bits = window_prints(hashes[a : b - 1 + size], int(size))
-            for w, i in items.near(of_size, bits):
-                value = similarity(hashes[a + w : a + w + size], items.parts[i])
-                if value >= least and (i not in best or value > best[i][0]):
-                    best[i] = (value, a + w, int(size))
+        for a, b in _runs(hits, size, n):
+            run = hashes[a : b - 1 + size]
+            again = repeat[a + size - 1 : b + size - 1] >= np.arange(a, b)
+            plain = of_size[~items.repeated[of_size]]
+            if len(plain) and not again.all():
+                for w, i in items.near(plain, window_prints(run, size)):
+                    if not again[w]:
+                        offer(i, similarity(run[w : w + size], items.parts[i]), a + w, size)
+            for i in (of_size if again.any() else of_size[items.repeated[of_size]]).tolist():
+                values = window_similarities(run, size, items.parts[i], least)
+                if not items.repeated[i]:
+                    values[~again] = 0
+                w = int(values.argmax())
+                offer(i, float(values[w]), a + w, size)
     return best
 
 

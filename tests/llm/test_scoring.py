@@ -138,6 +138,39 @@ def test_contaminated_windows(spark):
     assert (501, 92) in got
 
 
+def test_contaminated_windows_with_repeated_shingles(spark):
+    """A run of one word that differs turns many fingerprint bits, whatever the similarity is."""
+    rng = random.Random(14)
+
+    def grams(text):
+        words = text.split()
+        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+    items, rows = [], []
+    for i in range(12):
+        n, run = ((160, 16), (120, 12), (160, 1))[i % 3]
+        body, cut = prose(rng, n).split(), rng.randrange(n)
+        theirs = body if run == 1 else body + ["nn"] * run
+        mine = body[:cut] + ["mm"] * (run if run > 1 else 14) + body[cut:] if i % 2 else body + ["mm"] * run
+        items.append((i, " ".join(theirs)))
+        rows.append((i, " ".join(prose(rng, 30).split() + mine + prose(rng, 30).split()), "en", "s", 0, "", 0, 0, 0, 0, 0))
+    want = {}
+    for r in rows:
+        g = grams(r[1])
+        for item, text in items:
+            parts = Counter(grams(text))
+            m = min(sum(parts.values()), len(g))
+            for p in range(len(g) - m + 1):
+                w = Counter(g[p : p + m])
+                value = sum((w & parts).values()) / sum((w | parts).values())
+                if value >= 0.8 and value > want.get((r[0], item), 0):
+                    want[r[0], item] = value
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(
+        frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) >= 6
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
 def test_blocks_find_all_within_the_radius():
     rng = np.random.default_rng(3)
     prints = rng.random((50, 128)) > 0.5
