@@ -13,7 +13,8 @@ are compared without fingerprints: their common weight is counted for every wind
 
 Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased.  A text of fewer words than a
 shingle is one shingle and only matches equal texts.  Null and empty texts, documents or items,
-match nothing.  Repeated rows give the same pairs once.  Items are worked on in passes of at most
+match nothing.  Repeated rows give the same pairs once.  Items without id are told apart by their
+text and give pairs with a null item_id.  Items are worked on in passes of at most
 about ``PASS_BYTES`` of benchmark text, the only data every task gets.
 """
 
@@ -114,17 +115,20 @@ class Items:
     holders: np.ndarray
     first: np.ndarray
     repeated: np.ndarray | None = None
+    named: np.ndarray | None = None
 
     @staticmethod
     def of(rows: pa.Table, k: int) -> "Items":
-        ids, parts = [], []
+        ids, named, parts = [], [], []
         for batch in rows.to_batches():
             for texts in slices(batch.column("text")):
                 text, _, hashes, _ = text_shingles(texts, k)
                 bounds = np.searchsorted(text, np.arange(len(texts) + 1))
-                numbers = batch.column("item_id").to_numpy(zero_copy_only=False)
+                numbers = batch.column("item").to_numpy(zero_copy_only=False)
+                known = batch.column("named").to_numpy(zero_copy_only=False)
                 for i in np.flatnonzero(np.diff(bounds)):
                     ids.append(numbers[texts.first + i])
+                    named.append(known[texts.first + i])
                     parts.append(hashes[bounds[i] : bounds[i + 1]])
         prints = (np.concatenate([window_prints(p, len(p)) for p in parts]) if parts else np.zeros((0, 128), bool))
         flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -132,7 +136,8 @@ class Items:
         order = np.argsort(flat, kind="stable")
         known, first = np.unique(flat[order], return_index=True)
         return Items(np.array(ids, np.int64), parts, prints, _blocks(prints), known, owner[order],
-                     np.append(first, len(flat)), np.array([len(np.unique(p)) < len(p) for p in parts], bool))
+                     np.append(first, len(flat)), np.array([len(np.unique(p)) < len(p) for p in parts], bool),
+                     np.array(named, bool))
 
     def near(self, sizes_of: np.ndarray, bits: np.ndarray) -> list[tuple[int, int]]:
         """(window, item) pairs of the items ``sizes_of`` within the radius, by way of the blocks."""
@@ -196,8 +201,8 @@ def matches(hashes: np.ndarray, items: Items, least: float) -> dict[int, tuple[f
 
 
 def _search(items: Items, k: int, least: float):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),
-                        ("first_byte", pa.int64()), ("end_byte", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("item", pa.int64()), ("named", pa.bool_()),
+                        ("similarity", pa.float64()), ("first_byte", pa.int64()), ("end_byte", pa.int64())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +219,7 @@ def _search(items: Items, k: int, least: float):
                     for i, (value, at, size) in matches(hashes[a:b], items, least).items():
                         end = min(word[a + at + size - 1] + k - 1, last)
                         base = texts.offsets[t]
-                        rows.append((ids[texts.first + int(t)].as_py(), int(items.ids[i]), value,
+                        rows.append((ids[texts.first + int(t)].as_py(), int(items.ids[i]), bool(items.named[i]), value,
                                      int(words.starts[word[a + at]] - base), int(words.ends[end] - base)))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -226,17 +231,18 @@ def _search(items: Items, k: int, least: float):
 def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = WORDS, least: float = SIMILAR,
                  pass_bytes: int = PASS_BYTES) -> DataFrame:
     """doc_id, item_id, similarity and byte range (UTF-8) of the best window, for every similar pair."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(
-        "item_id is not null and text is not null").distinct()
+    number = F.col("item_id").cast("long")
+    items = benchmark.filter("text is not null").select(
+        F.coalesce(number, F.xxhash64("text")).alias("item"), number.isNotNull().alias("named"), "text").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes, found = max(1, -(-total // pass_bytes)), None
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for n in range(passes):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == n).orderBy("item_id", "text").toArrow()
+        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == n).orderBy("item", "text").toArrow()
         pairs = narrow.mapInArrow(
             _search(Items.of(rows, k), k, least),
-            "doc_id long, item_id long, similarity double, first_byte long, end_byte long")
+            "doc_id long, item long, named boolean, similarity double, first_byte long, end_byte long")
         found = pairs if found is None else found.union(pairs)
     best = F.max(F.struct("similarity", (-F.col("first_byte")).alias("before"), "end_byte"))
-    return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", "b.similarity", (-F.col("b.before")).alias("first_byte"), "b.end_byte")
+    return found.groupBy("doc_id", "item", "named").agg(best.alias("b")).select(
+        "doc_id", F.when(F.col("named"), F.col("item")).alias("item_id"), "b.similarity", (-F.col("b.before")).alias("first_byte"), "b.end_byte")

@@ -118,9 +118,10 @@ def _fold(rows: DataFrame, level: int, seed: int, block: int, *carried: str) ->
     ).select("source", "piece", "rest", F.element_at("bits", F.col("item.at")).alias("bit"), "item.*")
 
 
-def pivotal_rounding(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> DataFrame:
-    """Round the fractions ``p`` of (doc_id, source, size, p) to ``bit`` 0 or 1."""
-    first = written(_fold(rows.withColumn("ref", F.xxhash64("doc_id", "size")), 0, seed, block, "doc_id"), "mix-0")
+def pivotal_rounding(rows: DataFrame, block: int = BLOCK, seed: int = 0, carried: Sequence[str] = ()) -> DataFrame:
+    """Round the fractions ``p`` of (doc_id, source, size, p) to ``bit`` 0 or 1; ``carried`` columns stay."""
+    first = written(
+        _fold(rows.withColumn("ref", F.xxhash64("doc_id", "size")), 0, seed, block, "doc_id", *carried), "mix-0")
     left = first.filter("bit is null").select(
         "source", "size", F.xxhash64("source", "piece").alias("ref"), F.col("rest").alias("p"))
     decided, level = [], 0
@@ -139,16 +140,18 @@ def pivotal_rounding(rows: DataFrame, block: int = BLOCK, seed: int = 0) -> Data
         last = last.union(part)
     later = last.select("blocked", F.col("bit").alias("later"))
     keyed = first.withColumn("blocked", F.when(F.col("bit").isNull(), F.xxhash64("source", "piece")))
-    return keyed.join(later, "blocked", "left").select("doc_id", "source", "size", F.coalesce("bit", "later").alias("bit"))
+    return keyed.join(later, "blocked", "left").select(
+        "doc_id", "source", "size", F.coalesce("bit", "later").alias("bit"), *carried)
 
 
 def mix(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
-    block: int = BLOCK, seed: int = 0,
+    block: int = BLOCK, seed: int = 0, carried: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, size, source_size, target and taken (copies times size) of every row."""
+    """doc_id, size, source_size, target, taken (copies times size) and ``carried`` columns of every row."""
     sizes = written(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size")),
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col("text")).alias("size"),
+                    *carried),
         "mix-sizes",
     )
     targets = written(source_targets(sizes, weights, share, cap), "mix-targets").select(
@@ -160,17 +163,17 @@ def mix(
                   .select("of", part.alias("p")))
     open_rows = (
         sizes.filter("size > 0").join(fractional, F.col("source").eqNullSafe(F.col("of")))
-        .select("doc_id", "source", "size", "p")
+        .select("doc_id", "source", "size", "p", *carried)
     )
-    bits = pivotal_rounding(open_rows, block, seed)
+    bits = pivotal_rounding(open_rows, block, seed, carried)
     rest = (
         sizes.join(fractional.select(F.col("of").alias("open_source"), F.lit(True).alias("open")),
                    F.col("source").eqNullSafe(F.col("open_source")), "left")
         .filter("size = 0 or open is null")
-        .select("doc_id", "source", "size", F.lit(0).alias("bit"))
+        .select("doc_id", "source", "size", F.lit(0).alias("bit"), *carried)
     )
     return (
         bits.union(rest).join(targets, F.col("source").eqNullSafe(F.col("of")))
         .select("doc_id", "size", "source_size", "target",
-                ((whole + F.col("bit")) * F.col("size")).cast("long").alias("taken"))
+                ((whole + F.col("bit")) * F.col("size")).cast("long").alias("taken"), *carried)
     )

@@ -68,8 +68,8 @@ def assign(docs: DataFrame, weights: Sequence[float], added: float = 1.0, seed:
     return with_slots(written(rows, "sharded"), ["doc_id", "size", "text_crc32"])
 
 
-def place(rows: DataFrame, weights: Sequence[float], seed: int = 0) -> DataFrame:
-    """The rows with ``shard`` and ``slot`` (columns of these names are replaced)."""
+def place(rows: DataFrame, weights: Sequence[float], seed: int = 0, key: str = "doc_id") -> DataFrame:
+    """The rows with ``shard`` and ``slot`` (columns of these names are replaced) by their ``key``."""
     placed = rows.drop("shard", "slot", "_piece", "_row", "_start", "_n").withColumn(
-        "shard", rendezvous(F.col("doc_id"), weights, seed).cast("int"))
-    return with_slots(placed, ["doc_id"])
+        "shard", rendezvous(F.col(key), weights, seed).cast("int"))
+    return with_slots(placed, [key])

@@ -4,8 +4,9 @@ Every stage takes (spark, docs, sf_dir) and returns a table that is written and
 next stage's docs.  The first three keep whole rows of documents, with their columns; mixing
 repeats and drops rows; sharding adds the shard to each row of the mix.
 
-Rows are told apart by doc_id: rows of one id get one answer.  Null ids are kept by the quality
-stage if their text passes, and from then on are never duplicates, contaminated or repeated.
+Rows are told apart by doc_id: rows of one id get one answer.  A row without id is told apart by its
+text, whose hash, above all usual ids, is its key: it can be a near copy, be contaminated and be
+sharded like any other.  Of equal texts without id one stays.  The mix decides on every row by itself.
 """
 
 from __future__ import annotations
@@ -25,6 +26,17 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with ``key``: their id, or the hash of their text from 2^62 on where that is null."""
+    of_text = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), of_text).alias("key"))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """The rows with their key in place of their id, as the operators take them."""
+    return rows.select(F.col("key").alias("doc_id"), *[c for c in rows.columns if c not in ("doc_id", "key")])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality classifier scores at 0.7 or more.
 
@@ -37,31 +49,40 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest id of each component of near copies: five-word shingles, similarity 0.8."""
-    found = neardup.components_of(docs, k=5, percent=80)
-    copies = found.filter("doc_id > component_id").select("doc_id").distinct()
-    return _rows(docs).join(copies, "doc_id", "left_anti").select(*COLUMNS)
+    rows = _keyed(docs)
+    found = neardup.components_of(_named(rows), k=5, percent=80)
+    copies = found.filter("doc_id > component_id").select(F.col("doc_id").alias("key")).distinct()
+    bare, worded = rows.filter("doc_id is null"), mixing.word_count(F.col("text")) > 0
+    once = bare.filter(worded).groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("of")).select("of.*", "key")
+    kept = rows.filter("doc_id is not null").union(once).join(copies, "key", "left_anti").select(*COLUMNS)
+    return kept.union(bare.filter(~worded).select(*COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a window similar to a benchmark item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _rows(docs).join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    rows = _keyed(docs)
+    found = decontaminate.contaminated(_named(rows), table(spark, sf_dir, "benchmark"))
+    held = found.select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(held, "key", "left_anti").select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take each document as often as the mix does: not at all, once or twice."""
+    """Take each row as often as the mix does: not at all, once or twice.
+
+    The rows are numbered and written first, as numbers hold for one reading only.
+    """
+    rows = written(_keyed(docs).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
     taken = (
-        mixing.mix(docs).filter("size > 0 and doc_id is not null")
-        .select("doc_id", F.expr("taken div size").cast("int").alias("copies"))
-        .groupBy("doc_id").agg(F.max("copies").alias("copies")).filter("copies > 0")
+        mixing.mix(_named(rows), carried=["row"]).filter("taken > 0")
+        .select("row", F.expr("taken div size").cast("int").alias("copies"))
     )
-    rows = _rows(docs).join(taken, "doc_id")
+    rows = rows.join(taken, "row")
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix with their shard and slot; copies of a document share a shard."""
-    return sharding.place(_rows(docs), [1.0] * SHARDS)
+    return sharding.place(_keyed(docs), [1.0] * SHARDS, key="key").drop("key")
 
 
 STAGES = [

@@ -1,12 +1,15 @@
 """The registered operator queries beside their SQL, and the pipeline stage by stage."""
 
+import random
+from collections import Counter
+
 import duckdb
 import pytest
 
 import corpus_pipeline
 from cardwatch.llm import mixing
 from cardwatch.llm.queries import QUERIES, SQL
-from llm_fixtures import gram_set
+from llm_fixtures import gram_set, prose
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +61,52 @@ def test_pipeline(spark, tmp_path):
     for _, rows in seen[4].groupby("shard"):
         assert sorted(rows.slot) == list(range(len(rows)))
     assert corpus_pipeline.run(spark, SF).count() == len(seen[4])
+
+
+PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _texts(frame):
+    return Counter((r.doc_id, r.text) for r in frame.collect())
+
+
+def test_near_copies_without_id(spark):
+    rng = random.Random(21)
+    a, b, c = (prose(rng, 80) for _ in range(3))
+    rows = [(1, a), (None, a + " x"), (None, a), (None, b), (None, b), (None, b + " x"), (2, c), (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", j) for j, (i, t) in enumerate(rows)], PLAIN)
+    got = _texts(corpus_pipeline.near_duplicate_stage(spark, docs, SF))
+    of_b = [k for k in got if k[1].startswith(b)]
+    assert len(of_b) == 1 and got.pop(of_b[0]) == 1
+    assert got == {(1, a): 1, (2, c): 1, (None, ""): 2}
+
+
+def test_contaminated_documents_and_items_without_id(spark, tmp_path):
+    rng = random.Random(22)
+    items, clean = [prose(rng, 30) for _ in range(3)], prose(rng, 60)
+    spark.createDataFrame([(5, items[0]), (None, items[1]), (None, items[2])], "item_id long, text string").write.parquet(
+        f"file://{tmp_path}/benchmark.parquet")
+    rows = [(None, prose(rng, 9) + " " + items[0]), (None, items[1] + " x"), (3, items[2]), (None, clean), (4, clean)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], PLAIN)
+    got = _texts(corpus_pipeline.decontamination_stage(spark, docs, f"file://{tmp_path}"))
+    assert got == {(None, clean): 1, (4, clean): 1}
+
+
+def test_mix_and_shards_of_rows_without_id(spark):
+    rng = random.Random(23)
+    rows = [(None if i % 3 == 0 else i, prose(rng, rng.randrange(1, 60)), "en", f"s{i % 3 % 2}", 0) for i in range(300)]
+    rows += [(1, "one id, one more text", "en", "s1", 0), rows[3], rows[3], rows[1], (None, None, "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, PLAIN).repartition(5)
+    mixed = corpus_pipeline.mixing_stage(spark, docs, SF)
+    target = {r.size: r.target for r in mixing.mix(docs).selectExpr("source_size as size", "target").distinct().collect()}
+    got = _texts(mixed)
+    for source in ("s0", "s1"):
+        sizes = [len(r[1].split()) for r in rows if r[3] == source and r[1]]
+        words = sum(len(r.text.split()) for r in mixed.filter(f"source = '{source}'").collect())
+        assert abs(words - target[sum(sizes)]) <= max(sizes)
+    assert all(n <= 2 * sum(r[:2] == k for r in rows) for k, n in got.items())
+    placed = corpus_pipeline.sharding_stage(spark, mixed, SF).toPandas()
+    assert len(placed) == sum(got.values())
+    assert placed[placed.doc_id.isna()].shard.nunique() == corpus_pipeline.SHARDS
+    for _, part in placed.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))

@@ -171,6 +171,15 @@ def test_contaminated_windows_with_repeated_shingles(spark):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+def test_items_without_id(spark):
+    rng = random.Random(15)
+    texts = [prose(rng, 20) for _ in range(3)]
+    items = spark.createDataFrame([(None, texts[0]), (None, texts[1]), ((1 << 60) + 1, texts[2])], "item_id long, text string")
+    rows = [(1, texts[0] + " x " + texts[1], "", "", 0, "", 0, 0, 0, 0, 0), (2, texts[2], "", "", 0, "", 0, 0, 0, 0, 0)]
+    got = decontaminate.contaminated(frame(spark, rows), items).collect()
+    assert sorted((r.doc_id, str(r.item_id)) for r in got) == [(1, "None"), (1, "None"), (2, str((1 << 60) + 1))]
+
+
 def test_blocks_find_all_within_the_radius():
     rng = np.random.default_rng(3)
     prints = rng.random((50, 128)) > 0.5
