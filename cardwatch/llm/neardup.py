@@ -258,10 +258,14 @@ def components_of(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     total = nodes.agg(F.sum("n")).first()[0] or 0
     bits = min(24, max(LEAST_BITS, int(total / FRAGMENT_GRAMS).bit_length()))
     some = _possible(nodes, _counted(narrow, k, bits, FIRST_PART, 1 << 62), percent)
-    some = written(some.filter("doc_id is not null"), "some-nodes")
-    keys = some.select("doc_id").distinct()
+    some = written(some, "some-nodes")
+    keys = some.filter("doc_id is not null").select("doc_id").distinct()
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_NODES else keys
     texts = narrow.join(keys, "doc_id").select("text").mapInArrow(_with_node(k), "text string, node long")
+    unnamed = some.filter("doc_id is null").select("node")
+    if not unnamed.isEmpty():  # sets of rows without id only: found by their hash
+        others = narrow.filter("doc_id is null").select("text").mapInArrow(_with_node(k), "text string, node long")
+        texts = texts.union(others.dropDuplicates(["node"]).join(unnamed, "node", "left_semi").select("text", "node"))
     texts = written(texts.dropDuplicates(["node"]).select("text"), "possible-texts")
     counted = _counted(texts, k, bits, 1.0, HOT_DOCUMENTS)
     hot = counted.filter("hot").orderBy(F.desc("count"), "id").limit(HOT_GRAMS).select("id").toPandas()["id"].to_numpy()

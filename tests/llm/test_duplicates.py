@@ -35,6 +35,23 @@ def test_near_duplicates_without_a_common_centre(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_near_duplicates_across_rows_without_id(spark, monkeypatch, limit):
+    """A null-id row between two others joins them; near copies of null-id rows are found."""
+    monkeypatch.setattr(neardup, "BROADCAST_NODES", limit)
+    rng = random.Random(12)
+
+    def row(i, words):
+        return (i, " ".join(words), None, None, None, None, 0, 0, 0, 0, 0)
+
+    chain, other, lone = (prose(rng, 120).split() for _ in range(3))
+    rows = [row(1, chain[:100]), row(None, chain[8:108]), row(None, chain[8:108]), row(3, chain[16:116]),
+            row(None, other), row(7, other[3:]), row(None, other[6:]), row(None, lone), row(None, lone[2:]), row(9, ["x"])]
+    got = sorted((tuple(r) for r in neardup.components_of(frame(spark, rows), 2, 80).collect()), key=str)
+    assert got == brute_components(rows, 2, 80)
+    assert {r[2] for r in got if r[0] in (1, 3)} == {1} and sum(r[0] is None and r[2] == 7 for r in got) == 2
+
+
 def test_near_duplicates_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BROADCAST_NODES", 0)
     rows = documents(4)
