@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardwatch.llm import decontaminate, exactdup, linedup, longmatch, mixing, neardup, quality, sharding, toxicity, warc
+from cardwatch.llm import decontaminate, exactdup, linedup, longmatch, merkle, mixing, neardup, quality, sharding, toxicity, warc
 from cardwatch.llm.store import table
 from cardwatch.session import scratch_path
 
@@ -116,3 +117,18 @@ def op9_quality_trees(spark, sf):
 @query
 def op10_simhash_decontamination(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def tampered_by_id() -> tuple[Column, Column]:
+    """Which rows are tampered with, and what text they then have: rows without id never are."""
+    chosen = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    return F.coalesce(chosen, F.lit(False)), F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    found = merkle.manifest(table(spark, sf, "documents"), *tampered_by_id())
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
+        F.size("copied").cast("long").alias("n_copied"),
+    )

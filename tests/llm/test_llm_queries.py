@@ -29,8 +29,8 @@ def test_matches_sql(spark, name):
     assert _rows(got.columns, [tuple(r) for r in got.collect()]) == _rows([d[0] for d in want.description], want.fetchall())
 
 
-def test_ten_operators_and_five_stages():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 11)}
+def test_thirteen_operators_and_five_stages():
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
