@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardwatch.llm import decontaminate, exactdup, linedup, longmatch, merkle, mixing, neardup, quality, sharding, toxicity, warc
+from cardwatch.llm import decontaminate, exactdup, linedup, longmatch, merkle, mixing, neardup, prefixtrie, quality, sharding, toxicity, warc
 from cardwatch.llm.store import table
 from cardwatch.session import scratch_path
 
@@ -132,3 +132,65 @@ def op11_merkle_manifest(spark, sf):
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
         F.size("copied").cast("long").alias("n_copied"),
     )
+
+
+@query
+def op13_conversation_prefix_trie(spark, sf):
+    return prefixtrie.trie(table(spark, sf, "conversations")).drop("prefix")
+
+
+#: CRC-32 of a number's decimal text, byte by byte with the reflected polynomial.
+CRC32 = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS entries
+)"""
+
+
+def crc32_sql(digits: str) -> str:
+    codes = f"list_transform(string_split({digits}, ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    step = "lambda c, b: xor(c >> 8, entries[1 + (xor(c, b) & 255)])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {step}), 4294967295)"
+
+
+SQL["op13_conversation_prefix_trie"] = f"""
+WITH {CRC32}, t AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         sha256(CAST(octet_length(encode(coalesce(role, ''))) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+  SELECT conv_id, digest, octet_length(encode(text)) AS bytes,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) - 1 AS place
+  FROM t
+), names AS (
+  SELECT conv_id, {crc32_sql("CAST(conv_id AS VARCHAR)")} % 9 AS shared
+  FROM (SELECT DISTINCT conv_id FROM t), crc_table
+), parts AS (
+  SELECT n.conv_id, 0 AS part, place, digest, bytes
+  FROM names n JOIN turns t ON t.conv_id = n.conv_id - n.conv_id % 5 AND place < shared
+  UNION ALL
+  SELECT n.conv_id, 1, place, digest, bytes FROM names n JOIN turns t ON t.conv_id = n.conv_id AND place >= shared
+), prefixes AS (
+  SELECT conv_id, 0 AS depth, '' AS path, 0 AS bytes FROM names
+  UNION ALL
+  SELECT conv_id, row_number() OVER w, string_agg(digest, '') OVER w, bytes
+  FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)
+), spans AS (
+  SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ended FROM prefixes
+), nodes AS (
+  SELECT path, depth, count(*) AS n_convs, min(conv_id) AS conv_id, (count(*) - 1) * any_value(bytes) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended), '')) AS ends_sha256
+  FROM spans GROUP BY path, depth
+), above AS (
+  SELECT c.path, p.path AS parent, p.conv_id AS parent_conv_id
+  FROM nodes c JOIN nodes p ON c.depth = p.depth + 1 AND starts_with(c.path, p.path)
+), childless AS (
+  SELECT n.path, count(a.path) AS n_children FROM nodes n LEFT JOIN above a ON a.parent = n.path GROUP BY n.path
+), subtrees AS (
+  SELECT v.path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(s.saved) AS BIGINT) AS saved_tokens
+  FROM nodes v JOIN nodes s ON s.depth >= v.depth AND starts_with(s.path, v.path) JOIN childless c ON c.path = s.path
+  GROUP BY v.path
+)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM nodes JOIN childless USING (path) JOIN subtrees USING (path) LEFT JOIN above USING (path)
+"""

@@ -23,7 +23,7 @@ def _rows(columns, rows):
 def test_matches_sql(spark, name):
     got = QUERIES[name](spark, SF)
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.execute(SQL[name])
     assert _rows(got.columns, [tuple(r) for r in got.collect()]) == _rows([d[0] for d in want.description], want.fetchall())
