@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardwatch.llm import decontaminate, exactdup, linedup, longmatch, merkle, mixing, neardup, prefixtrie, quality, sharding, toxicity, warc
+from cardwatch.llm import decontaminate, exactdup, linedup, longmatch, merkle, mixing, neardup, prefixtrie, quality, secretscan, sharding, toxicity, warc
 from cardwatch.llm.store import table
 from cardwatch.session import scratch_path
 
@@ -134,6 +134,11 @@ def op11_merkle_manifest(spark, sf):
     )
 
 
+@query
+def op12_secret_scan(spark, sf):
+    return secretscan.secrets(table(spark, sf, "documents"))
+
+
 @query
 def op13_conversation_prefix_trie(spark, sf):
     return prefixtrie.trie(table(spark, sf, "conversations")).drop("prefix")
