@@ -80,12 +80,13 @@ def statistics(texts: Texts) -> np.ndarray:
 
 @dataclass
 class Trees:
-    """``feature`` and ``cut`` of the inner nodes and ``value`` of the leaves of every tree."""
+    """``feature`` and ``cut`` of the inner nodes and ``value`` of the leaves of every tree; ``rows`` they are fitted to."""
 
     base: float
     feature: np.ndarray
     cut: np.ndarray
     value: np.ndarray
+    rows: int = 0
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total, rows = np.full(len(x), self.base), np.arange(len(x))
@@ -106,7 +107,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
     rate = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
     base = float(np.log(rate / (1 - rate)))
     if not len(y) or y.min() == y.max():
-        return Trees(base, feature[:0], cut[:0], value[:0])
+        return Trees(base, feature[:0], cut[:0], value[:0], len(y))
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
     binned = np.stack([np.searchsorted(e, c, "left") for e, c in zip(edges, x.T)], 1)
     margin = np.full(len(y), base)
@@ -135,7 +136,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
         leaf = node - inner
         value[t] = -RATE * np.bincount(leaf, slope, leaves) / (np.bincount(leaf, bend, leaves) + 1)
         margin += value[t, leaf]
-    return Trees(base, feature, cut, value)
+    return Trees(base, feature, cut, value, len(y))
 
 
 def _statistics_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

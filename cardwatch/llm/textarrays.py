@@ -6,12 +6,14 @@ that fit a core's cache, so memory depends on the slice and the longest single t
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 18
+LONG = 128
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -46,9 +48,14 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
 
 
 class PrefixHash:
-    """Hashes of any byte ranges of one array, from one running sum."""
+    """Hashes of any byte ranges of one array, from one running sum.
+
+    A sum modulo 2^64 has unlike strings of equal hash from about a thousand bytes on (sequences of two letters
+    whose differences cancel).  Ranges of more than ``LONG`` bytes are hashed by BLAKE2 instead.
+    """
 
     def __init__(self, data: np.ndarray):
+        self.data = data
         terms = _BYTE_CODE[data]
         terms *= _power(_BASE, len(data))[:-1] if len(data) else terms
         self.sums = np.zeros(len(data) + 1, np.uint64)
@@ -57,7 +64,11 @@ class PrefixHash:
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         length = (ends - starts).astype(np.uint64)
-        return mix((self.sums[ends] - self.sums[starts]) * self.shift[starts] + length)
+        found = mix((self.sums[ends] - self.sums[starts]) * self.shift[starts] + length)
+        for i in np.flatnonzero(length > LONG):
+            some = hashlib.blake2b(np.ascontiguousarray(self.data[starts[i] : ends[i]]), digest_size=8)
+            found[i] = int.from_bytes(some.digest(), "little")
+        return found
 
     def windows(self, width: int) -> np.ndarray:
         """One hash for each start of ``width`` bytes."""

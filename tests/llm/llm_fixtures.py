@@ -87,3 +87,8 @@ def cut_repeats(rows, width=50):
         runs = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
         out.append((mine, len(data), sum(gone), runs, bytes(b for b, g in zip(data, gone) if not g)))
     return sorted(out, key=str)
+
+
+def thue_morse(letters, power=10):
+    """A word of 2^power letters; with the letters swapped, its polynomial hash modulo 2^64 is the same."""
+    return "".join(letters[bin(i).count("1") % 2] for i in range(1 << power))

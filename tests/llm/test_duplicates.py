@@ -5,12 +5,13 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from cardwatch.llm import exactdup, linedup, longmatch, neardup
+from cardwatch.llm import exactdup, linedup, longmatch, neardup, textarrays
 from cardwatch.llm.components import components
 from cardwatch.llm.runindex import RunIndex
-from llm_fixtures import DOCS, components as brute_components, cut_repeats, documents, frame, prose
+from llm_fixtures import DOCS, components as brute_components, cut_repeats, documents, frame, prose, thue_morse
 
 
 @pytest.mark.parametrize("seed,k,percent", [(1, 4, 85), (2, 5, 80), (3, 2, 50)])
@@ -107,6 +108,42 @@ def test_long_matches_with_frequent_pieces_and_many_flushes(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def _cut(spark, texts):
+    rows = [(i, t, None, None, None, None, 0, 0, 0, 0, 0) for i, t in texts]
+    got = longmatch.remove_repeats(frame(spark, rows)).collect()
+    got = [(1 << 62 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got]
+    want = [(*w[:4], hashlib.sha256(w[4]).hexdigest()) for w in cut_repeats(rows)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    return got
+
+
+def test_long_matches_of_many_rows_without_id(spark):
+    """Texts whose hashes agree in 31 bits: a range of one row is not cut out of another."""
+    passage = prose(random.Random(9), 12)
+    heads = [f"{passage} a{i}" for i in range(120_000)]
+    others = [f"b{i} " + "nothing in common with any other text, only long enough" for i in range(120_000)]
+    short = [hash_of(heads), hash_of(others)]
+    _, a, b = np.intersect1d(*short, return_indices=True)
+    assert len(a)
+    texts = [(1, passage)] + [(None, t) for i, j in zip(a, b) for t in (heads[i], others[j])]
+    got = _cut(spark, texts + [(7, heads[0]), (7, others[0]), (7, heads[0])])
+    assert sum(r[2] > 0 for r in got) >= len(a)
+
+
+def hash_of(texts):
+    column = pa.array(texts)
+    return np.concatenate([longmatch.text_versions(t, textarrays.PrefixHash(t.data)) for t in textarrays.slices(column)]) >> 33
+
+
+def test_words_of_equal_polynomial_hash(spark):
+    """Long words of two letters, the letters swapped: other words, other sets, other texts."""
+    one, two = thue_morse("ab"), thue_morse("ba")
+    rows = [(i, t, None, None, None, None, 0, 0, 0, 0, 0) for i, t in enumerate([one, two, f"{one} x y z w", f"{two} x y z w", one])]
+    got = sorted((tuple(r) for r in neardup.components_of(frame(spark, rows), 4, 85).collect()), key=str)
+    assert got == brute_components(rows, 4, 85)
+    _cut(spark, [(1, one), (2, two), (None, one + "!"), (None, two + "!")])
+
+
 def test_run_index():
     rng = random.Random(1)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 90))) for _ in range(60)]

@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from cardwatch.llm import mixing
 from cardwatch.llm.queries import QUERIES, SQL
-from llm_fixtures import gram_set, prose
+from llm_fixtures import gram_set, prose, thue_morse
 
 SF = "/root/testdata/sf0.001"
 
@@ -110,3 +110,43 @@ def test_mix_and_shards_of_rows_without_id(spark):
     assert placed[placed.doc_id.isna()].shard.nunique() == corpus_pipeline.SHARDS
     for _, part in placed.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
+
+
+def _stage(spark, stage, texts, sf=SF):
+    rows = [(i, t, "en", "s", 0) for i, t in texts]
+    return _texts(stage(spark, spark.createDataFrame(rows, PLAIN).repartition(3), sf))
+
+
+def test_rows_that_share_an_id_are_judged_by_their_text(spark, tmp_path):
+    """Unique texts of a repeated id stay, equal rows of one id go but for one."""
+    rng = random.Random(24)
+    a, b, c, unique, other = (prose(rng, 80) for _ in range(5))
+    got = _stage(spark, corpus_pipeline.near_duplicate_stage,
+                 [(1, a), (2, a + " x"), (2, unique), (3, b), (3, b), (3, b), (None, other), (None, c), (9, c)])
+    assert got == {(1, a): 1, (2, unique): 1, (3, b): 1, (None, other): 1, (9, c): 1}
+    item = prose(rng, 30)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    got = _stage(spark, corpus_pipeline.decontamination_stage, [(2, a + " " + item), (2, unique), (2, unique)], f"file://{tmp_path}")
+    assert got == {(2, unique): 2}
+
+
+def test_texts_of_a_share_of_equal_hashes(spark, tmp_path):
+    one, two = thue_morse("ab"), thue_morse("ba")
+    got = _stage(spark, corpus_pipeline.near_duplicate_stage, [(1, one), (2, two)])
+    assert got == {(1, one): 1, (2, two): 1}
+    words = " ".join([one] * 3 + ["b c d e f g h i j k l m"])
+    spark.createDataFrame([(1, words)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    swapped = words.replace(one, two)
+    got = _stage(spark, corpus_pipeline.decontamination_stage, [(1, words), (2, swapped.replace("m", "n"))], f"file://{tmp_path}")
+    assert not any(k[0] == 1 for k in got)
+
+
+def test_pipeline_without_labels_and_without_documents(spark, tmp_path):
+    texts = [(1, prose(random.Random(1), 40)), (2, None), (None, "")]
+    labels = "doc_id long, quality int, toxic int"
+    spark.createDataFrame([], labels).write.parquet(f"file://{tmp_path}/labels.parquet")
+    got = _stage(spark, corpus_pipeline.quality_stage, texts, f"file://{tmp_path}")
+    assert got == {t: 1 for t in texts}
+    for name, kinds in (("documents", PLAIN), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], kinds).write.parquet(f"file://{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
