@@ -4,14 +4,15 @@ Every stage takes (spark, docs, sf_dir) and returns a table that is written and
 next stage's docs.  The first three keep whole rows of documents, with their columns; mixing
 repeats and drops rows; sharding adds the shard to each row of the mix.
 
-Rows are told apart by doc_id: rows of one id get one answer.  A row without id is told apart by its
-text, whose hash, above all usual ids, is its key: it can be a near copy, be contaminated and be
-sharded like any other.  Of equal texts without id one stays.  The mix decides on every row by itself.
+Near copies and contamination are decided row by row: the stage numbers its rows, so rows that share an id, or have
+none, are judged by their own text.  Of rows with equal or similar texts one stays, whatever their ids.  Mixing decides
+row by row too; sharding goes by the id, or by the text where that is null.  Without labelled rows the quality stage
+knows nothing and keeps all documents.  An empty table stays empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardwatch.llm import decontaminate, mixing, neardup, quality, sharding
 from cardwatch.llm.labels import fold
@@ -26,54 +27,61 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The rows with ``key``: their id, or the hash of their text from 2^62 on where that is null."""
-    of_text = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    return docs.select(*COLUMNS, F.coalesce(F.col("doc_id").cast("long"), of_text).alias("key"))
+def _numbered(docs: DataFrame, label: str) -> DataFrame:
+    """The rows with ``row``, a number of their own; written, as numbers hold for one reading only."""
+    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), label)
 
 
-def _named(rows: DataFrame) -> DataFrame:
-    """The rows with their key in place of their id, as the operators take them."""
-    return rows.select(F.col("key").alias("doc_id"), *[c for c in rows.columns if c not in ("doc_id", "key")])
+def _by_row(rows: DataFrame) -> DataFrame:
+    """The texts with their row's number for an id, as the operators take them."""
+    return rows.select(F.col("row").alias("doc_id"), "text")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality classifier scores at 0.7 or more.
 
-    It learns from the labelled rows outside the held-out quarter.
+    It learns from the labelled rows outside the held-out quarter; if there are none, all documents stay.
     """
     train = fold(F.col("doc_id"), 4) != 2
     trees = quality.fit(docs, table(spark, sf_dir, "labels"), train)
+    if not trees.rows:
+        return _rows(docs)
     return quality.score_rows(_rows(docs), trees).filter(F.col("score") >= QUALITY).drop("score")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each component of near copies: five-word shingles, similarity 0.8."""
-    rows = _keyed(docs)
-    found = neardup.components_of(_named(rows), k=5, percent=80)
-    copies = found.filter("doc_id > component_id").select(F.col("doc_id").alias("key")).distinct()
-    bare, worded = rows.filter("doc_id is null"), mixing.word_count(F.col("text")) > 0
-    once = bare.filter(worded).groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("of")).select("of.*", "key")
-    kept = rows.filter("doc_id is not null").union(once).join(copies, "key", "left_anti").select(*COLUMNS)
-    return kept.union(bare.filter(~worded).select(*COLUMNS))
+    """Keep one row of each component of near copies: five-word shingles, similarity 0.8.
+
+    The one with the smallest id stays, one without id only if none has any.  Texts without words all stay.
+    """
+    rows = _numbered(docs, "near-rows")
+    found = neardup.components_of(_by_row(rows), k=5, percent=80).filter("n_shingles > 0")
+    found = found.select(F.col("doc_id").alias("row"), "component_id")
+    named = rows.select("row", F.col("doc_id").isNull().alias("bare"), "doc_id").join(found, "row")
+    stays = named.groupBy("component_id").agg(F.min(F.struct("bare", "doc_id", "row")).alias("first"))
+    goes = named.join(stays, "component_id").filter("row <> first.row").select("row")
+    return rows.join(goes, "row", "left_anti").select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a window similar to a benchmark item."""
-    rows = _keyed(docs)
-    found = decontaminate.contaminated(_named(rows), table(spark, sf_dir, "benchmark"))
-    held = found.select(F.col("doc_id").alias("key")).distinct()
-    return rows.join(held, "key", "left_anti").select(*COLUMNS)
+    """Drop the rows that hold a window similar to a benchmark item."""
+    rows = _numbered(docs, "benchmark-rows")
+    found = decontaminate.contaminated(_by_row(rows), table(spark, sf_dir, "benchmark"))
+    held = found.select(F.col("doc_id").alias("row")).distinct()
+    return rows.join(held, "row", "left_anti").select(*COLUMNS)
 
 
-def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take each row as often as the mix does: not at all, once or twice.
+def _key() -> Column:
+    """The id, or the hash of the text from 2^62 on where that is null."""
+    of_text = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return F.coalesce(F.col("doc_id").cast("long"), of_text)
 
-    The rows are numbered and written first, as numbers hold for one reading only.
-    """
-    rows = written(_keyed(docs).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each row as often as the mix does: not at all, once or twice."""
+    rows = _numbered(docs, "mix-rows")
     taken = (
-        mixing.mix(_named(rows), carried=["row"]).filter("taken > 0")
+        mixing.mix(rows.withColumn("doc_id", _key()), carried=["row"]).filter("taken > 0")
         .select("row", F.expr("taken div size").cast("int").alias("copies"))
     )
     rows = rows.join(taken, "row")
@@ -82,7 +90,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix with their shard and slot; copies of a document share a shard."""
-    return sharding.place(_keyed(docs), [1.0] * SHARDS, key="key").drop("key")
+    return sharding.place(docs.select(*COLUMNS, _key().alias("key")), [1.0] * SHARDS, key="key").drop("key")
 
 
 STAGES = [
