@@ -63,9 +63,14 @@ def quality_alerts(
     One scan: the months are summed over the daily rows, of which there are few
     whatever the size of the table.
     """
+    return cell_alerts(daily_cells(df, time, label, prediction, amount))
+
+
+def cell_alerts(cells: DataFrame) -> DataFrame:
+    """The broken limits of ``daily_cells`` with an amount."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     month = Window.partitionBy(F.date_format("day", "yyyy-MM"))
-    days = daily_cells(df, time, label, prediction, amount).select(
+    days = cells.select(
         "*",
         F.sum("missed_loss").over(month).alias("loss"),
         (F.col("day") == F.min("day").over(month)).alias("opens_month"),

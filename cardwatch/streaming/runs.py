@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -15,6 +18,21 @@ def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWrite
     return writer.trigger(processingTime=every)
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Start a query with the state store that keyed state needs; queries keep the setting they are started with."""
+    before = spark.conf.get(STATE_PROVIDER)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
+
+
 def finish(query: StreamingQuery, timeout_seconds: int | None = None) -> bool:
     """Wait for the query, at most for the time limit; True when it ended by itself."""
     try:

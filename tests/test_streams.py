@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cardwatch.operators.monitoring import daily_cells
 from cardwatch.sinks import tables
 from cardwatch.sources.messages import as_messages, decode, read_message_stream
-from cardwatch.streaming import quality, scoring
+from cardwatch.streaming import days, quality, scoring
 from cardwatch.streaming.runs import finish, read_batches
 
 SCORED = "at timestamp_ntz, y int, p int"
@@ -127,3 +127,45 @@ def test_time_limit_ends_a_running_query(spark, tmp_path):
     assert finish(query, 8) is False
     assert not query.isActive
     assert [r.value for r in spark.read.text(out).collect()] == ["a"]
+
+
+def _close(spark, tmp_path, parts, lateness="1 day"):
+    """Close days over files that arrive in order, restarting after each."""
+    source, out = f"file://{tmp_path}/scored", f"file://{tmp_path}/days"
+    schema = spark.createDataFrame([], f"{SCORED}, amount double").schema
+    for part in parts:
+        spark.createDataFrame(part, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        finish(days.start_closed_days(stream, "at", "y", "p", out, f"file://{tmp_path}/checkpoint", amount="amount", lateness=lateness))
+    return out
+
+
+def _on(day, *hours, label=0, call=0, amount=1.5):
+    return [(datetime(2024, 1, day, h), label, call, amount) for h in hours]
+
+
+def test_a_day_closes_once_and_later_rows_are_counted_as_late(spark, tmp_path):
+    out = _close(spark, tmp_path, [
+        _on(1, 0, 23, label=1) + _on(2, 5), _on(1, 7, call=1) + _on(3, 1), _on(1, 9) + _on(4, 2), _on(1, 3) + _on(2, 8, 9) + [(None, 1, 1, 1.0)],
+    ])
+    got = {str(r.day): r.asDict() for r in days.closed_cells(spark, out).collect()}
+    # The newest time is day 4, 02:00; a day behind it, days 1 and 2 are over.
+    assert set(got) == {"2024-01-01", "2024-01-02"}
+    assert (got["2024-01-01"]["fn"], got["2024-01-01"]["fp"], got["2024-01-01"]["tn"], got["2024-01-01"]["missed_loss"]) == (2, 1, 0, 3.0)
+    assert got["2024-01-02"]["tn"] == 1
+    late = {str(r.day): r.transactions for r in days.late_days(spark, out).collect()}
+    assert late == {"2024-01-01": 2, "2024-01-02": 2, "None": 1}
+    assert read_batches(spark, out, days.DAY_SCHEMA).filter("kind = 'closed'").groupBy("day").count().filter("count > 1").isEmpty()
+    alerts = {(r.period, r.metric) for r in days.closed_day_alerts(spark, out).collect()}
+    assert ("2024-01-01", "recall") in alerts and ("2024-01-01", "fpr") in alerts and not any(p == "2024-01-03" for p, _ in alerts)
+
+
+def test_nothing_closes_without_rows(spark, tmp_path):
+    out = _close(spark, tmp_path, [[]])
+    assert days.closed_days(spark, out).count() == 0 and days.late_days(spark, out).count() == 0
+
+
+def test_parts_of_a_busy_day_are_one_day(spark, tmp_path):
+    busy = [(datetime(2024, 1, 1, i % 24, i % 60, i % 59), i % 2, i % 3 == 0 and 1 or 0, 1.0) for i in range(3000)]
+    out = _close(spark, tmp_path, [busy, _on(9, 1)])
+    assert [r.transactions for r in days.closed_days(spark, out).collect()] == [3000]

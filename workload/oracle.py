@@ -214,6 +214,23 @@ VIEWS = {
                CAST(count(*) FILTER (tx_fraud = 0 AND pred_b = 0) AS DOUBLE) AS tn,
                sum(CASE WHEN tx_fraud = 1 AND pred_b = 0 THEN tx_amount ELSE 0 END) AS missed_loss
         FROM scored GROUP BY ALL""",
+    "arrivals": """
+        SELECT *, xor(tx_time_days // 8, 1) AS run, CAST(tx_datetime AS DATE) AS day,
+               CAST(CAST(tx_datetime AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS day_end FROM scored""",
+    "marks": """
+        SELECT run, max(max(tx_datetime)) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                    - INTERVAL 2 DAY AS mark FROM arrivals GROUP BY run""",
+    "arrival_cells": """
+        SELECT CASE WHEN coalesce(day_end <= mark, false) THEN 'late' ELSE 'closed' END AS kind, day, day_end,
+               CAST(count(*) FILTER (tx_fraud = 1 AND pred_b = 1) AS DOUBLE) AS tp,
+               CAST(count(*) FILTER (tx_fraud = 0 AND pred_b = 1) AS DOUBLE) AS fp,
+               CAST(count(*) FILTER (tx_fraud = 1 AND pred_b = 0) AS DOUBLE) AS fn,
+               CAST(count(*) FILTER (tx_fraud = 0 AND pred_b = 0) AS DOUBLE) AS tn,
+               sum(CASE WHEN tx_fraud = 1 AND pred_b = 0 THEN tx_amount ELSE 0 END) AS missed_loss
+        FROM arrivals JOIN marks USING (run) GROUP BY ALL""",
+    "closed_cells": """
+        SELECT *, tp + fp + fn + tn AS total FROM arrival_cells WHERE kind = 'closed'
+          AND day_end <= (SELECT max(tx_datetime) - INTERVAL 2 DAY FROM arrivals)""",
     "thresholds": """
         SELECT score_b AS threshold, tp / (tp + fp) AS precision, tp / p AS recall, fp / n AS fpr
         FROM (SELECT score_b,
@@ -524,6 +541,14 @@ BODIES = {
         SELECT day, total AS transactions, round(fp / (fp + tn), 9) AS fpr,
                CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 9) ELSE 0 END AS recall
         FROM day_cells""",
+    "stream_closed_days": """
+        SELECT kind, day, CAST(tp + fp + fn + tn AS BIGINT) AS transactions,
+               CASE WHEN fp + tn > 0 THEN round(fp / (fp + tn), 6) ELSE 0 END AS fpr,
+               CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) ELSE 0 END AS recall,
+               round(missed_loss, 6) AS missed_loss
+        FROM closed_cells
+        UNION ALL
+        SELECT kind, day, CAST(tp + fp + fn + tn AS BIGINT), NULL, NULL, NULL FROM arrival_cells WHERE kind = 'late'""",
     "select_threshold": """
         SELECT round(threshold, 9) AS threshold, round(precision, 9) AS precision,
                round(recall, 9) AS recall, round(fpr, 9) AS fpr, round(f_beta, 9) AS f_beta
@@ -568,6 +593,7 @@ BODIES = {
         FROM (SELECT transaction_id * 37 % 260 AS ms FROM tx)""",
 }
 BODIES["daily_quality"] = BODIES["stream_daily_quality"]
+BODIES["closed_day_alerts"] = BODIES["quality_alerts"].replace("day_cells", "closed_cells")
 
 
 def oracle_sql() -> dict[str, str]:

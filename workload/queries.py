@@ -20,7 +20,7 @@ from cardwatch.plans.driver_features import BATCH, CATALOG, KEY, PUSHED
 from cardwatch.session import scratch_path
 from cardwatch.sinks import tables
 from cardwatch.sources import features as feature_sources, messages, transactions
-from cardwatch.streaming import push, quality as stream_quality, scoring
+from cardwatch.streaming import days, push, quality as stream_quality, scoring
 from cardwatch.streaming.runs import finish
 from workload import views
 
@@ -922,6 +922,33 @@ def stream_daily_quality(spark, sf):
     return _rounded(stream_quality.read_daily_quality(spark, out))
 
 
+def _closing(spark, sf) -> str:
+    """Close days over arrivals out of order, restarting on one checkpoint after each."""
+    out, checkpoint = scratch_path(spark, "days"), scratch_path(spark, "checkpoint")
+
+    def run(arrived: DataFrame) -> None:
+        finish(days.start_closed_days(
+            views.with_scores(views.transactions(arrived)), "tx_datetime", "tx_fraud", "pred_b", out, checkpoint,
+            amount="tx_amount", lateness="2 days"))
+
+    views.in_stages(spark, sf, scratch_path(spark, "arrivals"), run)
+    return out
+
+
+@query
+def stream_closed_days(spark, sf):
+    """Final figures of the closed days, and the rows that came after their day had closed."""
+    out = _closing(spark, sf)
+    closed = days.closed_days(spark, out).select(F.lit(days.CLOSED).alias("kind"), "*")
+    late = days.late_days(spark, out).select(F.lit(days.LATE).alias("kind"), "*")
+    return _rounded(closed.unionByName(late, allowMissingColumns=True), 6)
+
+
+@query
+def closed_day_alerts(spark, sf):
+    return _rounded(days.closed_day_alerts(spark, _closing(spark, sf)), 6)
+
+
 # --- monitoring
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType,
@@ -48,6 +50,18 @@ def events_stream(spark: SparkSession, sf: str) -> DataFrame:
     return reader.parquet(f"{sf}/{{events.parquet}}")
 
 
+STAGES = 4
+
+
+def in_stages(spark: SparkSession, sf: str, root: str, run: Callable[[DataFrame], None]) -> None:
+    """``run`` a stream over the events after each of four arrivals of eight days, the later of two always first."""
+    rows = events(spark, sf)
+    for stage in range(STAGES):
+        part = rows.filter(F.expr(f"(day(ts) - 1) div 8 = {stage ^ 1}"))
+        part.write.mode("append").parquet(root)
+        run(spark.readStream.schema(EVENTS_SCHEMA).parquet(root))
+
+
 def _second_text() -> Column:
     """The event's time to the second, free of any session zone."""
     return F.substring(F.col("ts").cast("string"), 1, 19)
