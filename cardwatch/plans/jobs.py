@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -14,6 +14,7 @@ from cardwatch.plans import registry
 from cardwatch.schema import TRANSACTION_COLUMNS
 from cardwatch.session import scratch_path
 from cardwatch.sinks import tables
+from cardwatch.sinks.observed import written_counts
 from cardwatch.sources.messages import as_messages
 from cardwatch.sources.transactions import parse_csv_lines, read_text_lines
 from cardwatch.streaming.scoring import reloading, start_scoring
@@ -39,8 +40,7 @@ def clean_files(spark: SparkSession, source: str, target: str, strict: bool = Fa
     One scan and one shuffle.  Valid lines meet by id and the first one stays; a
     rejected line meets its own copies only.  Both are combined before the shuffle, so
     neither a hot id nor a hot line fills a task, and nothing is lost: ``copies`` says
-    how many lines a row stands for.  Returns the funnel, read back from the written
-    counts, which a retried task cannot distort.
+    how many lines a row stands for.  Returns the funnel as the write itself counted it; see ``written_counts``.
     """
     lines = parse_csv_lines(spark.read.text(source), keep=True)
     rows = cleaning.classify(lines, strict, keep=("line",))
@@ -58,8 +58,8 @@ def clean_files(spark: SparkSession, source: str, target: str, strict: bool = Fa
         F.col(c if c == "transaction_id" else f"first.{c}").alias(c) for c in TRANSACTION_COLUMNS
     ]
     table = grouped.select(*first, "line", "copies", "outcome")
-    tables.write_table(table, target, partition_by=("outcome",))
-    return written_funnel(spark, target)
+    counts = written_counts(table, *_funnel_counts(), write=lambda rows: tables.write_table(rows, target, partition_by=("outcome",)))
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
 
 
 def read_clean(spark: SparkSession, target: str) -> DataFrame:
@@ -68,22 +68,27 @@ def read_clean(spark: SparkSession, target: str) -> DataFrame:
     return rows.select(*TRANSACTION_COLUMNS)
 
 
-def written_funnel(spark: SparkSession, target: str) -> DataFrame:
-    written = spark.read.parquet(target)
+def _funnel_counts() -> list[Column]:
+    """The funnel as aggregates over rows of ``outcome`` and ``copies``."""
     kept = F.col("outcome") == cleaning.KEPT
     lines = F.coalesce(F.sum("copies"), F.lit(0))
 
-    def dropped(reason: str):
+    def dropped(reason: str) -> Column:
         lines_here = F.when(F.col("outcome") == reason, F.col("copies")).otherwise(0)
         return F.coalesce(F.sum(lines_here), F.lit(0)).alias(f"dropped_{reason}")
 
     repeats = F.coalesce(F.sum(F.when(kept, F.col("copies") - 1)), F.lit(0))
-    return written.agg(
+    return [
         lines.alias("lines_read"),
         *[dropped(reason) for reason in cleaning.REJECTIONS],
         repeats.alias("dropped_duplicate"),
         F.count_if(kept).alias("rows_kept"),
-    )
+    ]
+
+
+def written_funnel(spark: SparkSession, target: str) -> DataFrame:
+    """The funnel of an earlier run, from its written counts."""
+    return spark.read.parquet(target).agg(*_funnel_counts())
 
 
 def profile_files(spark: SparkSession, source: str, rejects: str | None = None) -> DataFrame:

@@ -76,3 +76,14 @@ def as_messages(df: DataFrame, label: str = "fraud") -> DataFrame:
     """One JSON text per row, without the label, nulls kept as nulls."""
     body = df.drop(label)
     return body.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def unique_messages(stream: DataFrame, key: str, time: str, within: str = "1 hour") -> DataFrame:
+    """Each ``key`` of a stream once, however often its sender repeated it ``within`` that time.
+
+    For receivers of topics that get their messages at least once.  State holds the keys of that time only;
+    a repeat that comes later is taken for a new message.  Rows without a key are never repeats of each other.
+    """
+    marked = stream.withWatermark(time, within)
+    named = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("none:"), F.uuid()))
+    return marked.withColumn("__key", named).dropDuplicatesWithinWatermark(["__key"]).drop("__key")

@@ -62,3 +62,9 @@ def read_batches(spark: SparkSession, root: str, schema: StructType | str) -> Da
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], full)
+
+
+def append_stream(rows: DataFrame, path: str, checkpoint: str, *, every: str | None = None) -> StreamingQuery:
+    """Append a stream to a table, each row once whatever fails in between."""
+    writer = rows.writeStream.format("parquet").outputMode("append").option("path", path)
+    return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()

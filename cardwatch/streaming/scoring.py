@@ -14,11 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from cardwatch.operators.modeling import decode_prediction, fraud_probability
+from cardwatch.sinks.observed import written_counts
 from cardwatch.sinks.tables import DELIVERY
 from cardwatch.sources.messages import decode
 from cardwatch.streaming.runs import batch_folder, read_batches, running_query, with_trigger
 
 SCORED, REJECTED = "scored", "rejected"
+SENT = "sent"
 LABELS = ("fraud", "label")  # fixed values: never echoed in a prediction
 OUTPUT_SCHEMA = "value string, reason string, status string"
 PROGRESS_SCHEMA = "processed bigint, errors bigint, started_at timestamp, ended_at timestamp"
@@ -100,7 +102,7 @@ def start_scoring(
     path: str | None = None,
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Write predictions and dead letters below ``out``, and a progress row per batch.
+    """Write predictions and dead letters below ``out``, and a progress row per batch, counted by that write.
 
     With ``sink`` the predictions also go to a topic (``kafka``) or to files below ``path``.
     A replayed batch replaces its files; a topic gets its messages at least once.
@@ -114,19 +116,22 @@ def start_scoring(
         started = time.time()
         query_id = running_query(batch)
         folder = batch_folder(f"{out}/messages", query_id, batch_id)
-        score_messages(batch, model_for_batch(), schema, alias).write.mode(
-            "overwrite"
-        ).partitionBy("status").parquet(folder)
-        written = spark.read.schema(OUTPUT_SCHEMA).parquet(folder)
+        counts = written_counts(
+            score_messages(batch, model_for_batch(), schema, alias),
+            F.count_if(F.col("status") == SCORED).alias("processed"),
+            F.count_if(F.col("status") == REJECTED).alias("errors"),
+            write=lambda rows: rows.write.mode("overwrite").partitionBy("status").parquet(folder),
+        )
         if sink is not None:
+            written = spark.read.schema(OUTPUT_SCHEMA).parquet(folder)
             place = None if path is None else batch_folder(path, query_id, batch_id)
             send_messages(written.filter(F.col("status") == SCORED), sink, place, options)
-        written.agg(
-            F.count_if(F.col("status") == SCORED).alias("processed"),
-            F.count_if(F.col("status") == REJECTED).alias("errors"),
+        spark.range(1).select(
+            F.lit(counts.get("processed", 0)).cast("bigint").alias("processed"),
+            F.lit(counts.get("errors", 0)).cast("bigint").alias("errors"),
             F.timestamp_millis(F.lit(int(started * 1000))).alias("started_at"),
             F.current_timestamp().alias("ended_at"),
-        ).write.mode("overwrite").parquet(batch_folder(f"{out}/progress", query_id, batch_id))
+        ).coalesce(1).write.mode("overwrite").parquet(batch_folder(f"{out}/progress", query_id, batch_id))
 
     writer = messages.writeStream.foreachBatch(write_batch)
     return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
@@ -187,8 +192,12 @@ def sink_messages(
     options: dict[str, str] | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Stream ``value`` to a topic, or to text files, exactly once for files."""
-    writer = stream.select("value").writeStream.format(sink).outputMode("append")
+    """Stream ``value`` to a topic, or to text files, exactly once for files.
+
+    How much was sent can be followed by :class:`cardwatch.streaming.progress.SentLog`.
+    """
+    sent = stream.select("value").observe(SENT, F.count(F.lit(1)).alias("messages"), F.sum(F.octet_length("value")).alias("bytes"))
+    writer = sent.writeStream.format(sink).outputMode("append")
     settings = {**DELIVERY, **(options or {})} if sink == "kafka" else dict(options or {})
     writer = writer.options(**settings).option("checkpointLocation", checkpoint)
     if path is not None:

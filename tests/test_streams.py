@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from cardwatch.operators.monitoring import daily_cells
 from cardwatch.sinks import tables
-from cardwatch.sources.messages import as_messages, decode, read_message_stream
-from cardwatch.streaming import days, quality, scoring
-from cardwatch.streaming.runs import finish, read_batches
+from cardwatch.sinks.observed import written_counts
+from cardwatch.sources.messages import as_messages, decode, read_message_stream, unique_messages
+from cardwatch.streaming import days, push, quality, scoring
+from cardwatch.streaming.progress import SentLog
+from cardwatch.streaming.runs import append_stream, finish, read_batches
 
 SCORED = "at timestamp_ntz, y int, p int"
 
@@ -169,3 +171,81 @@ def test_parts_of_a_busy_day_are_one_day(spark, tmp_path):
     busy = [(datetime(2024, 1, 1, i % 24, i % 60, i % 59), i % 2, i % 3 == 0 and 1 or 0, 1.0) for i in range(3000)]
     out = _close(spark, tmp_path, [busy, _on(9, 1)])
     assert [r.transactions for r in days.closed_days(spark, out).collect()] == [3000]
+
+
+FEATURES = "driver int, event_timestamp timestamp_ntz, created timestamp_ntz, rate double, note string"
+
+
+def _latest(spark, tmp_path, parts, ttl=None):
+    source, root = f"file://{tmp_path}/features", f"file://{tmp_path}/root"
+    for part in parts:
+        spark.createDataFrame(part, FEATURES).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(spark.createDataFrame([], FEATURES).schema).parquet(source)
+        finish(push.start_latest(stream, root, "driver", f"file://{tmp_path}/checkpoint", ttl=ttl))
+    schema = spark.createDataFrame([], FEATURES).schema
+    changes = read_batches(spark, f"{root}/changes", schema).select("driver", "note").collect()
+    return push.read_latest(spark, root, "driver", schema), sorted(map(tuple, changes), key=str)
+
+
+def test_newest_rows_as_state(spark, tmp_path):
+    """Older rows change nothing, also after a restart; ties by the later columns, nulls lowest."""
+    at = [datetime(2024, 1, d) for d in range(1, 6)]
+    newest, changes = _latest(spark, tmp_path, [
+        [(1, at[1], at[1], 0.5, "a"), (1, at[0], at[4], 0.9, "old"), (2, at[2], None, None, "b"), (None, at[0], at[0], 1.0, "none")],
+        [(1, at[1], at[1], 0.4, "lower"), (1, at[1], at[0], 0.9, "created before"), (2, at[2], at[0], 0.1, "created")],
+        [(1, at[3], None, None, None), (2, at[2], at[0], 0.1, "crease"), (2, at[0], at[0], 0.1, "x"), (2, at[2], at[0], 0.1, "d")],
+    ])
+    assert {(r.driver, r.note) for r in newest.collect()} == {(1, None), (2, "d"), (None, "none")}
+    assert changes == sorted([(1, "a"), (2, "b"), (None, "none"), (2, "created"), (1, None), (2, "d")], key=str)
+
+
+def test_quiet_state_expires(spark, tmp_path):
+    """After the time to live the key is new: its next row is a change although an older one was kept longer."""
+    import time
+
+    row = [(1, datetime(2024, 1, 2), datetime(2024, 1, 2), 0.5, "a")]
+    older = [(1, datetime(2024, 1, 1), datetime(2024, 1, 1), 0.5, "older")]
+    _latest(spark, tmp_path, [row], timedelta(seconds=2))
+    time.sleep(3)
+    newest, changes = _latest(spark, tmp_path, [older], timedelta(seconds=2))
+    assert changes == [(1, "a"), (1, "older")] and [r.note for r in newest.collect()] == ["a"]
+
+
+def test_repeats_are_dropped_over_a_restart(spark, tmp_path):
+    source, out = f"file://{tmp_path}/topic", f"file://{tmp_path}/out"
+    schema = "id string, at timestamp, n int"
+    rows = [("a", datetime(2024, 1, 1, 0), 1), ("b", datetime(2024, 1, 1, 0), 2), (None, datetime(2024, 1, 1, 0), 3)]
+    for part in (rows + rows[:1], rows, [("a", datetime(2024, 1, 1, 0, 30), 9), ("c", datetime(2024, 1, 1, 1), 4)]):
+        spark.createDataFrame(part, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        finish(append_stream(unique_messages(stream, "id", "at"), out, f"file://{tmp_path}/checkpoint"))
+    got = sorted((r.id or "") for r in spark.read.parquet(out).collect())
+    assert got == ["", "", "a", "b", "c"]
+
+
+def test_sent_figures_come_from_the_batches(spark, tmp_path):
+    topic, out = f"file://{tmp_path}/topic", f"file://{tmp_path}/out"
+    log = SentLog(spark)
+    try:
+        for values in (["aa", "b"], ["ccc"]):
+            send(spark, topic, values)
+            query = scoring.sink_messages(read_message_stream(spark, path=topic), f"file://{tmp_path}/checkpoint", path=out)
+            finish(query)
+            assert log.settled(query)
+        row = log.table().first()
+        assert (row.messages, row.bytes, row.batches) == (3, 6, 2)
+        log.add(row.query_id, row.last_batch, 100, 100)
+        assert log.table().first().messages == 3
+    finally:
+        log.stop()
+
+
+def test_observed_counts_read_nothing_back(spark, tmp_path):
+    """One query runs: the write, which counts the rows it writes; no rows count 0."""
+    rows = spark.range(1000, numPartitions=6).withColumn("id", F.col("id") * 1)
+    store = spark._jsparkSession.sharedState().statusStore()
+    for name, some, want in (("all", rows, {"n": 1000, "total": 499500}), ("none", rows.filter("id % 2 = 3"), {"n": 0, "total": 0})):
+        before = store.executionsCount()
+        counts = written_counts(some, F.count(F.lit(1)).alias("n"), F.sum("id").alias("total"),
+                                write=lambda r: r.write.parquet(f"file://{tmp_path}/{name}"))
+        assert counts == want and store.executionsCount() == before + 1

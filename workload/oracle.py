@@ -427,6 +427,7 @@ BODIES = {
                count(DISTINCT terminal_id) AS terminals FROM profiled""",
     "clean_funnel": _FUNNEL,
     "clean_job": _FUNNEL,
+    "clean_observed": _FUNNEL,
     "split_sizes": """
         SELECT CASE WHEN bucket % 100 >= 80 THEN 'test' ELSE 'train' END AS split,
                count(*) AS rows FROM buckets GROUP BY 1""",
@@ -516,6 +517,15 @@ BODIES = {
         SELECT count(*) FILTER (transaction_id % 97 <> 0) AS processed,
                count(*) FILTER (transaction_id % 97 = 0) AS errors, true AS has_rate FROM tx""",
     "stream_sink_json": f"SELECT {_MESSAGE} FROM tx",
+    "stream_observed_progress": "SELECT count(*) AS messages, true AS has_size FROM tx",
+    "stream_unique_predictions": """
+        SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, 1 AS received FROM tx WHERE transaction_id % 97 <> 0""",
+    "stream_latest_state": """
+        SELECT driver_id, event_timestamp, created, round(conv_rate, 9) AS conv_rate,
+               round(acc_rate, 9) AS acc_rate, avg_daily_trips
+        FROM (SELECT * FROM driver_stats UNION ALL SELECT user_id, ts, ts, value / 1000, 1.0, event_id FROM events)
+        QUALIFY row_number() OVER (PARTITION BY driver_id ORDER BY event_timestamp DESC, created DESC, conv_rate DESC,
+                                   acc_rate DESC, avg_daily_trips DESC) = 1""",
     "push_features": """
         SELECT driver_id, event_timestamp, created, round(conv_rate, 9) AS conv_rate,
                round(acc_rate, 9) AS acc_rate, avg_daily_trips, history_rows

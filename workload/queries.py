@@ -21,7 +21,8 @@ from cardwatch.session import scratch_path
 from cardwatch.sinks import tables
 from cardwatch.sources import features as feature_sources, messages, transactions
 from cardwatch.streaming import days, push, quality as stream_quality, scoring
-from cardwatch.streaming.runs import finish
+from cardwatch.streaming.progress import SentLog
+from cardwatch.streaming.runs import append_stream, finish
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -500,7 +501,15 @@ def clean_funnel(spark, sf):
 
 @query
 def clean_job(spark, sf):
-    """The whole cleaning job on files; its funnel comes from what it wrote."""
+    """The whole cleaning job on files; its funnel as it can be read from what it wrote."""
+    target = scratch_path(spark, "by-outcome")
+    jobs.clean_files(spark, _raw_file(spark, sf), target)
+    return jobs.written_funnel(spark, target)
+
+
+@query
+def clean_observed(spark, sf):
+    """The cleaning job; its funnel as the write counted it."""
     return jobs.clean_files(spark, _raw_file(spark, sf), scratch_path(spark, "by-outcome"))
 
 
@@ -856,6 +865,20 @@ def stream_progress(spark, sf):
     return rows.select("processed", "errors", (F.col("messages_per_second") > 0).alias("has_rate"))
 
 
+@query
+def stream_observed_progress(spark, sf):
+    """What the job that sends messages reports of itself, over two runs on one checkpoint."""
+    log, topic, checkpoint = SentLog(spark), scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    try:
+        for _ in range(2):
+            sending = scoring.sink_messages(message_stream(spark, sf), checkpoint, path=topic)
+            finish(sending)
+            log.settled(sending)
+        return log.table().select("messages", (F.col("bytes") > F.col("messages")).alias("has_size"))
+    finally:
+        log.stop()
+
+
 @query
 def stream_sink_json(spark, sf):
     topic = scratch_path(spark, "topic")
@@ -889,6 +912,38 @@ def push_features(spark, sf):
     return _rounded(newest.join(pushed, KEY))
 
 
+def _pushed(rows: DataFrame) -> DataFrame:
+    """Events as feature rows."""
+    return rows.select(
+        F.col("user_id").alias("driver_id"), F.col("ts").alias("event_timestamp"), F.col("ts").alias("created"),
+        (F.col("value") / 1000).alias("conv_rate"), F.lit(1.0).alias("acc_rate"), F.col("event_id").alias("avg_daily_trips"))
+
+
+@query
+def stream_latest_state(spark, sf):
+    """The newest row per driver as state, over arrivals out of order and a restart after each."""
+    root, checkpoint = scratch_path(spark, "pushed"), scratch_path(spark, "checkpoint")
+    push.push_batch(views.driver_stats(spark, sf), -1, root, KEY)
+    views.in_stages(spark, sf, scratch_path(spark, "arrivals"),
+                    lambda arrived: finish(push.start_latest(_pushed(arrived), root, KEY, checkpoint)))
+    return _rounded(push.read_latest(spark, root, KEY, views.driver_stats(spark, sf).schema))
+
+
+@query
+def stream_unique_predictions(spark, sf):
+    """Predictions as a receiver sees them that drops repeats: the sender sends everything twice."""
+    out, topic, seen = _scored_stream(spark, sf), scratch_path(spark, "topic"), scratch_path(spark, "seen")
+    checkpoint = scratch_path(spark, "checkpoint")
+    sent = scoring.read_outputs(spark, out).filter(F.col("status") == scoring.SCORED)
+    schema = "transaction_id string, prediction int, probability double, processed_at timestamp"
+    for attempt in range(2):
+        scoring.send_messages(sent, "text", f"{topic}/attempt={attempt}")
+        received = messages.read_message_stream(spark, path=topic).select(F.from_json("value", schema).alias("m")).select("m.*")
+        once = messages.unique_messages(received, "transaction_id", "processed_at")
+        finish(append_stream(once, seen, checkpoint))
+    return spark.read.parquet(seen).groupBy("transaction_id").agg(F.count(F.lit(1)).alias("received"))
+
+
 @query
 def materialize_incremental(spark, sf):
     """Two steps: up to one instant, then from there to a later one."""
