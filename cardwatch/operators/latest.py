@@ -23,6 +23,17 @@ def latest_per_key(
     return source.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(source.columns)
 
 
+def fresh_rows(
+    source: DataFrame, end, start=None, *, time: str = "event_timestamp", created: str | None = "created"
+) -> DataFrame:
+    """Rows up to ``end`` that were not there at ``start``: of a later time, or created later."""
+    fresh = source.filter(F.col(time) <= F.lit(end))
+    if start is None:
+        return fresh
+    since = F.col(time) > F.lit(start)
+    return fresh.filter(since if created is None else since | (F.col(created) > F.lit(start)))
+
+
 def materialize(
     source: DataFrame,
     previous: DataFrame | None,
@@ -38,10 +49,7 @@ def materialize(
     Rows of an earlier time that were ``created`` after ``start`` came too late for the step
     before and are taken up as well; without ``created`` they are not seen.  The filters reach the scan.
     """
-    fresh = source.filter(F.col(time) <= F.lit(end))
-    if start is not None:
-        since = F.col(time) > F.lit(start)
-        fresh = fresh.filter(since if created is None else since | (F.col(created) > F.lit(start)))
+    fresh = fresh_rows(source, end, start, time=time, created=created)
     step = latest_per_key(fresh, key, time=time, created=created)
     if previous is None:
         return step

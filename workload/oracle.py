@@ -602,6 +602,8 @@ BODIES = {
                avg(CASE WHEN ms <= 200 THEN 1.0 ELSE 0 END) >= 0.95 AS within_target
         FROM (SELECT transaction_id * 37 % 260 AS ms FROM tx)""",
 }
+BODIES["materialize_buckets"] = BODIES["materialize_remembered"]
+BODIES["lookup_buckets"] = BODIES["latest_features_lookup"]
 BODIES["daily_quality"] = BODIES["stream_daily_quality"]
 BODIES["closed_day_alerts"] = BODIES["quality_alerts"].replace("day_cells", "closed_cells")
 

@@ -18,7 +18,7 @@ from cardwatch.operators.asof import Lookup, point_in_time_join
 from cardwatch.plans import jobs, registry
 from cardwatch.plans.driver_features import BATCH, CATALOG, KEY, PUSHED
 from cardwatch.session import scratch_path
-from cardwatch.sinks import tables
+from cardwatch.sinks import buckets, tables
 from cardwatch.sources import features as feature_sources, messages, transactions
 from cardwatch.streaming import days, push, quality as stream_quality, scoring
 from cardwatch.streaming.progress import SentLog
@@ -968,6 +968,25 @@ def materialize_remembered(spark, sf):
     return _rounded(tables.read_current(spark, root).drop("covered_until"))
 
 
+@query
+def materialize_buckets(spark, sf):
+    """Two steps that rewrite only the buckets with fresh keys; rows created late are taken up by the second."""
+    stats, root = views.driver_stats(spark, sf), scratch_path(spark, "latest")
+    middle = "2024-01-12 00:00:00"
+    buckets.materialize_buckets(stats.filter(F.col("created") <= F.lit(middle).cast("timestamp_ntz")), root, KEY, middle)
+    buckets.materialize_buckets(stats, root, KEY, AS_OF)
+    return _rounded(buckets.read_buckets(spark, buckets.directory(spark, root), stats.schema))
+
+
+@query
+def lookup_buckets(spark, sf):
+    """Requests answered from the buckets of their keys."""
+    newest, root = views.latest_stats(spark, sf), scratch_path(spark, "latest")
+    buckets.merge_buckets(newest, root, KEY)
+    features = list(CATALOG.views["driver_hourly_stats"].features)
+    return _rounded(buckets.lookup_buckets(views.requests(spark, sf), root, KEY, newest.schema, features))
+
+
 @query
 def stream_daily_quality(spark, sf):
     out = scratch_path(spark, "daily")
