@@ -13,7 +13,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardwatch.operators.asof import Lookup, join_at, point_in_time_join
+from cardwatch.operators.asof import Lookup, join_at, point_in_time_joins
 from cardwatch.operators.latest import lookup_latest
 
 
@@ -140,17 +140,18 @@ def historical_features(
     pairs = catalog.resolve(wanted)
     if as_of is not None:
         entities = entities.withColumn("event_timestamp", F.lit(as_of).cast("timestamp_ntz"))
-    joined = entities
+    joined, sides = entities, []
     for source, views in catalog.stored_columns(pairs).items():
         lookups = [
             Lookup({_held(v, c): c for c in sorted(columns)}, catalog.views[v].ttl)
             for v, columns in views.items()
         ]
-        sides = (joined, sources[source], lookups, catalog.key)
         if as_of is None:
-            joined = point_in_time_join(*sides, **options)
+            sides.append((sources[source], lookups))
         else:
-            joined = join_at(*sides, as_of, **options)
+            joined = join_at(joined, sources[source], lookups, catalog.key, as_of, **options)
+    if sides:
+        joined = point_in_time_joins(entities, sides, catalog.key, **options)
     outputs = catalog.outputs(pairs, entities.columns, full_names)
     return joined.select(*entities.columns, *outputs)
 

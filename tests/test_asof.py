@@ -204,3 +204,43 @@ def test_materialization_remembers_its_end_and_takes_late_rows(spark, tmp_path):
     asked = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     got = join_at(asked, bare, [Lookup({"v": "v"})], "k", at(10), created=None)
     assert {r.k: r.v for r in got.collect()} == {1: 2, 2: 3, 3: None}
+
+
+def _other(spark, rows):
+    return spark.createDataFrame(rows, "k int, event_timestamp timestamp_ntz, created timestamp_ntz, w string")
+
+
+@pytest.mark.parametrize("limit", [asof.ROWS_PER_KEY, 25])
+def test_several_sources_in_one_window(spark, limit):
+    """As many results as joining them one after the other, from a plan with one window."""
+    rng = random.Random(limit)
+    moment = lambda: at(rng.randrange(24), rng.randrange(60))
+    sources = [spark.createDataFrame([(rng.randrange(3), moment(), moment(), i) for i in range(120)], SOURCE)]
+    sources += [_other(spark, [(rng.randrange(3), moment(), moment(), f"{c}{i}") for i in range(60)]) for c in "xy"]
+    entities = spark.createDataFrame([(rng.choice([0, 0, 1, 2, 9, None]), moment(), i) for i in range(150)], ENTITY)
+    lookups = [[Lookup({"v": "v"}, DAY)], [Lookup({"w": "w"}, timedelta(hours=2))], [Lookup({"near": "w"}, timedelta(hours=1)), Lookup({"far": "w"})]]
+    joined = asof.point_in_time_joins(entities, list(zip(sources, lookups)), "k", rows_per_key=limit)
+    one_by_one = entities
+    for source, wanted in zip(sources, lookups):
+        one_by_one = point_in_time_join(one_by_one, source, wanted, "k")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, one_by_one.collect())) and joined.count() == 150
+    if limit == asof.ROWS_PER_KEY:
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert sum(line.strip(" :+-").startswith("Window ") for line in plan.splitlines()) == 1
+
+
+def test_very_many_rows_at_one_instant(spark):
+    """No slice can part them: instants are answered once, and the plan has no window over the rows."""
+    source = [(1, at(10), at(10), 7)] * 300 + [(1, at(9), at(9), 5), (2, at(8), at(8), 3)]
+    entities = [(1, at(10), i) for i in range(500)] + [(1, at(9, 30), 900), (2, at(9), 901), (1, at(8), 902), (None, at(8), 903)]
+    got = values(spark, source, entities, rows_per_key=50)
+    assert got == {**{i: 7 for i in range(500)}, 900: 5, 901: 3, 902: None, 903: None}
+    assert got == values(spark, source, entities)
+
+
+def test_a_million_equal_instants(spark):
+    entities = spark.range(1_000_000).select(F.lit(1).alias("k"), F.lit(at(10)).cast("timestamp_ntz").alias("event_timestamp"),
+                                             F.col("id").cast("int").alias("tag"))
+    source = spark.createDataFrame([(1, at(9), at(9), 4), (1, at(11), at(11), 5)], SOURCE)
+    joined = point_in_time_join(entities, source, [Lookup({"v": "v"}, DAY)], "k", rows_per_key=10_000)
+    assert joined.agg(F.count("*"), F.count_distinct("tag"), F.min("v"), F.max("v")).first()[:] == (1_000_000, 1_000_000, 4, 4)

@@ -391,6 +391,12 @@ BODIES = {
     "dedup_transactions": _WHOLE + "cleaned",
     "preview_rows": _WHOLE + "tx ORDER BY tx_datetime, transaction_id LIMIT 5",
     "pit_join": f"SELECT {_ENTITY}, {_FEATURES} FROM fresh",
+    "pit_join_two_sources": f"""
+        SELECT {_ENTITY}, {_FEATURES}, (
+          SELECT round(max_by(value, (ts, value)), 9) FROM events x
+          WHERE x.event_type = 'error' AND x.user_id = driver_id AND x.ts <= event_timestamp
+            AND x.ts >= event_timestamp - INTERVAL 6 HOUR) AS error_value
+        FROM fresh""",
     "pit_join_multi_view": _MULTI.format(entity=_ENTITY, risk=_RISK),
     "pit_join_as_of_now": f"""
         SELECT e.event_id, e.driver_id, TIMESTAMP '2024-01-20 12:00:00' AS event_timestamp,

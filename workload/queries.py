@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,7 +15,7 @@ from cardwatch.operators import (
     abtest, champions, cleaning, confusion, feature_views, latest, modeling, monitoring, quality,
     ranking, splits,
 )
-from cardwatch.operators.asof import Lookup, point_in_time_join
+from cardwatch.operators.asof import Lookup, point_in_time_join, point_in_time_joins
 from cardwatch.plans import jobs, registry
 from cardwatch.plans.driver_features import BATCH, CATALOG, KEY, PUSHED
 from cardwatch.session import scratch_path
@@ -425,6 +426,19 @@ def pit_join_multi_view(spark, sf):
     return _rounded(_historical(spark, sf, wanted))
 
 
+@query
+def pit_join_two_sources(spark, sf):
+    """Daily rates and the driver's last error of the six hours before, in one pass."""
+    stats = CATALOG.views["driver_hourly_stats"]
+    errors = views.events(spark, sf).filter(F.col("event_type") == "error").select(
+        F.col("user_id").alias(KEY), F.col("ts").alias("event_timestamp"), F.col("ts").alias("created"), "value")
+    sides = [
+        (views.driver_stats(spark, sf), [Lookup({c: c for c in stats.features}, stats.ttl)]),
+        (errors, [Lookup({"error_value": "value"}, timedelta(hours=6))]),
+    ]
+    return _rounded(point_in_time_joins(views.entities(spark, sf), sides, KEY))
+
+
 @query
 def pit_join_as_of_now(spark, sf):
     return _rounded(_historical(spark, sf, ["driver_hourly_stats"], as_of=AS_OF))
