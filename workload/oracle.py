@@ -434,6 +434,18 @@ BODIES = {
     "clean_funnel": _FUNNEL,
     "clean_job": _FUNNEL,
     "clean_observed": _FUNNEL,
+    "train_forest": """
+        SELECT count(*) AS rows, CAST(sum(tx_fraud) AS BIGINT) AS fraud, true AS ranks_well, true AS calls_well
+        FROM tx JOIN buckets USING (transaction_id) WHERE bucket % 100 >= 80""",
+    "cross_validate": """
+        SELECT num_trees, max_depth, true AS ranks_well, true AS best_is_refitted
+        FROM (VALUES (CAST(10 AS DOUBLE)), (20)) a(num_trees), (VALUES (CAST(5 AS DOUBLE)), (10)) b(max_depth)""",
+    "best_params": "SELECT true AS is_in_grid, true AS is_arg_max",
+    "batch_score": """
+        SELECT transaction_id, true AS is_sound, true AS call_follows_probability, true AS is_same_when_loaded
+        FROM buckets WHERE bucket % 100 >= 80""",
+    "stream_against_batch": """
+        SELECT count(*) AS compared, 0 AS differences FROM tx WHERE transaction_id % 97 <> 0""",
     "split_sizes": """
         SELECT CASE WHEN bucket % 100 >= 80 THEN 'test' ELSE 'train' END AS split,
                count(*) AS rows FROM buckets GROUP BY 1""",
@@ -608,6 +620,7 @@ BODIES = {
                avg(CASE WHEN ms <= 200 THEN 1.0 ELSE 0 END) >= 0.95 AS within_target
         FROM (SELECT transaction_id * 37 % 260 AS ms FROM tx)""",
 }
+BODIES["train_logistic"] = BODIES["train_forest"].replace("AS calls_well", "AS calls_well, true AS keeps_base_rate")
 BODIES["materialize_buckets"] = BODIES["materialize_remembered"]
 BODIES["lookup_buckets"] = BODIES["latest_features_lookup"]
 BODIES["daily_quality"] = BODIES["stream_daily_quality"]

@@ -15,6 +15,7 @@ from cardwatch.operators import (
     abtest, champions, cleaning, confusion, feature_views, latest, modeling, monitoring, quality,
     ranking, splits,
 )
+from cardwatch.operators.rows import side_by_side
 from cardwatch.operators.asof import Lookup, point_in_time_join, point_in_time_joins
 from cardwatch.plans import jobs, registry
 from cardwatch.plans.driver_features import BATCH, CATALOG, KEY, PUSHED
@@ -640,20 +641,27 @@ def fit(table: DataFrame, kind: str) -> PipelineModel:
 
 
 def _trained(kind: str) -> Query:
+    """How a fit does on the held-out part: its size, and whether the figures are those of a model that learnt."""
+
     def run(spark, sf):
         table = views.training(views.tx(spark, sf))
-        return _evaluated(spark, fit(table, kind), table)
+        model, path = fit(table, kind), scratch_path(spark, "calls")
+        tables.write_table(modeling.calls(modeling.score(model, views.test_part(table)), "fraud"), path)
+        made = spark.read.parquet(path)
+        share = F.avg("label")
+        sizes = made.agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("fraud"), F.greatest(share, 1 - share).alias("usual"))
+        found = side_by_side(sizes, modeling.evaluate(made)).select(
+            "rows", "fraud", (F.col("auc") > 0.6).alias("ranks_well"),
+            (F.col("accuracy") >= F.col("usual") - 0.01).alias("calls_well"))
+        if kind == "rf":
+            return found
+        seen = modeling.calls(modeling.score(model, views.train_part(table)), "fraud")
+        rate = seen.agg((F.abs(F.avg("score") - F.avg("label")) < 0.001).alias("keeps_base_rate"))
+        return side_by_side(found, rate)
 
     return run
 
 
-def _evaluated(spark, model: PipelineModel, table: DataFrame) -> DataFrame:
-    path = scratch_path(spark, "calls")
-    scored = modeling.score(model, views.test_part(table))
-    tables.write_table(modeling.calls(scored, "fraud"), path)
-    return modeling.evaluate(spark.read.parquet(path))
-
-
 QUERIES["train_forest"] = _trained("rf")
 QUERIES["train_logistic"] = _trained("lr")
 
@@ -667,11 +675,14 @@ def _tuned(spark, sf):
 
 @query
 def cross_validate(spark, sf):
+    """Every grid point; the one refitted is one of the best by its mean AUC."""
     results = modeling.grid_results(_tuned(spark, sf), spark)
+    best = Window.partitionBy(F.lit(0))
     return results.select(
         F.col("params.numTrees").alias("num_trees"),
         F.col("params.maxDepth").alias("max_depth"),
-        "auc",
+        F.col("auc").between(0.6, 1.0).alias("ranks_well"),
+        (F.max(F.when(F.col("is_best"), F.col("auc"))).over(best) == F.max("auc").over(best)).alias("best_is_refitted"),
     )
 
 
@@ -692,19 +703,33 @@ def run_record(spark, sf):
 
 @query
 def best_params(spark, sf):
-    best = modeling.best_params(_tuned(spark, sf).bestModel)
-    return spark.createDataFrame([best], "numTrees double, maxDepth double")
+    """The chosen point: in the grid, and the one that the refitted model has."""
+    tuned = _tuned(spark, sf)
+    best = spark.createDataFrame([modeling.best_params(tuned.bestModel)], "numTrees double, maxDepth double")
+    chosen = modeling.grid_results(tuned, spark).orderBy(F.desc("auc")).limit(1)
+    return best.join(chosen).select(
+        (F.col("numTrees").isin(10.0, 20.0) & F.col("maxDepth").isin(5.0, 10.0)).alias("is_in_grid"),
+        ((F.col("numTrees") == F.col("params.numTrees")) & (F.col("maxDepth") == F.col("params.maxDepth"))
+         | ~F.col("is_best")).alias("is_arg_max"))
 
 
 @query
 def batch_score(spark, sf):
-    table = views.training(views.tx(spark, sf))
-    scored = modeling.score(fit(table, "rf"), views.test_part(table))
-    return scored.select(
-        "transaction_id",
-        modeling.decode_prediction(F.col("prediction")).alias("prediction"),
-        modeling.fraud_probability(F.col("probability")).alias("probability"),
-    )
+    """Each held-out transaction: sound, and scored alike by the model and by what was saved of it."""
+    table, path = views.training(views.tx(spark, sf)), scratch_path(spark, "model")
+    model = fit(table, "rf")
+    modeling.save_model(model, path)
+
+    def scored(by: PipelineModel, suffix: str) -> DataFrame:
+        return modeling.score(by, views.test_part(table)).select(
+            "transaction_id", modeling.decode_prediction(F.col("prediction")).alias(f"call{suffix}"),
+            modeling.fraud_probability(F.col("probability")).alias(f"p{suffix}"))
+
+    both = scored(model, "").join(scored(modeling.load_model(path), "_loaded"), "transaction_id")
+    return both.select(
+        "transaction_id", (F.col("call").isin(0, 1) & F.col("p").between(0, 1)).alias("is_sound"),
+        ((F.col("call") == (F.col("p") > 0.5).cast("int")) | (F.col("p") == 0.5)).alias("call_follows_probability"),
+        ((F.col("call") == F.col("call_loaded")) & (F.col("p") == F.col("p_loaded"))).alias("is_same_when_loaded"))
 
 
 @query
@@ -837,6 +862,21 @@ def stream_score(spark, sf):
     return rows.select("transaction_id", "model_alias", sound.alias("is_sound"))
 
 
+@query
+def stream_against_batch(spark, sf):
+    """The stream's predictions beside batch scoring by the same model, number by number."""
+    rows = views.training(views.tx(spark, sf))
+    model, out = fit(rows, "rf"), scratch_path(spark, "predictions")
+    finish(scoring.start_scoring(
+        message_stream(spark, sf), lambda: model, views.MESSAGE_SCHEMA, out, scratch_path(spark, "checkpoint")))
+    batch = modeling.score(model, rows).select(
+        F.col("transaction_id").cast("string").alias("transaction_id"), modeling.decode_prediction(F.col("prediction")).alias("call"),
+        modeling.fraud_probability(F.col("probability")).alias("p"))
+    both = _predictions(spark, out).join(batch, "transaction_id")
+    differs = (F.col("prediction") != F.col("call")) | (F.abs(F.col("probability") - F.col("p")) > 1e-12)
+    return both.agg(F.count(F.lit(1)).alias("compared"), F.count_if(differs).alias("differences"))
+
+
 @query
 def stream_scored_topic(spark, sf):
     """The predictions as they reach the topic."""
