@@ -7,7 +7,11 @@ the cells, and 1 000 resamples cost 1 000 small draws instead of 1 000 passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cardwatch.functions.stats import cohens_d, welch
 from cardwatch.operators.confusion import accuracy, confusion, f1_weighted
@@ -16,6 +20,7 @@ from cardwatch.operators.rows import side_by_side
 
 SIDES = ("champion", "challenger")
 PROMOTE, KEEP = "PROMOTE", "KEEP_CHAMPION"
+SMALL_MEAN, STEPS = 50, 150
 _CELLS = [(label, a, b) for label in (0, 1) for a in (0, 1) for b in (0, 1)]
 
 
@@ -54,56 +59,72 @@ def compare_metrics(
     )
 
 
+def _uniform(seed: int, *parts: Column | str) -> Column:
+    """52 bits of the md5 of ``seed|iteration|cell|use``, inside (0, 1)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    return (F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
+def _few(n: Column, p: Column, u: Column) -> Column:
+    """The binomial draw at ``u`` by its distribution function, for small means: how many of its steps lie below ``u``."""
+    start = F.struct(F.exp(n * F.log1p(-p)).alias("term"), F.lit(0.0).alias("below"), F.lit(0).cast("long").alias("k"))
+
+    def step(state: Column, i: Column) -> Column:
+        total = state["below"] + state["term"]
+        return F.struct(
+            (state["term"] * (n - i) / (i + 1) * p / (1 - p)).alias("term"), total.alias("below"),
+            (state["k"] + F.when((total < u) & (i < n), 1).otherwise(0)).cast("long").alias("k"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(STEPS - 1)), start, step)["k"]
+
+
+def _many(n: Column, p: Column, u: Column, v: Column) -> Column:
+    """The binomial draw by the normal quantile corrected for skew, for large means."""
+    z = F.sqrt(-2 * F.log(u)) * F.cos(2 * math.pi * v)
+    exact = n * p + z * F.sqrt(n * p * (1 - p)) + (1 - 2 * p) * (z * z - 1) / 6
+    return F.least(F.greatest(F.floor(exact + 0.5), F.lit(0)), n).cast("long")
+
+
+def _binomial(n: Column, p: Column, u: Column, v: Column) -> Column:
+    rare = F.least(p, 1 - p)
+    drawn = F.when(n * rare < SMALL_MEAN, _few(n, rare, u)).otherwise(_many(n, rare, u, v))
+    return F.when(p > 0.5, n - drawn).otherwise(drawn)
+
+
+def _f1_of(cells: list[Column], side: int) -> Column:
+    """Fraud F1 from the drawn cells, by the call at ``side`` of their names."""
+    tp = reduce(add, [c for c, of in zip(cells, _CELLS) if of[0] and of[side]])
+    wrong = reduce(add, [c for c, of in zip(cells, _CELLS) if of[0] != of[side]])
+    return F.when(tp + wrong > 0, 2 * tp / (2 * tp + wrong)).otherwise(0.0)
+
+
 def bootstrap_f1(cells: DataFrame, iterations: int = 1000, seed: int = 42) -> DataFrame:
     """Fraud F1 of both sides in each resample; both see the same resample.
 
-    ``cells`` comes from :func:`cardwatch.operators.confusion.joint_cells`.
+    ``cells`` comes from :func:`cardwatch.operators.confusion.joint_cells`.  A resample is drawn cell by cell: given
+    what the cells before took, a cell's number is binomial.  Draws hang on md5 hashes of (seed, iteration, cell), so any
+    engine can repeat them.  Means below ``SMALL_MEAN`` use the exact distribution, larger ones the normal quantile with
+    its skew term, whose error is far below one row's effect on F1.
     """
-    counts = cells.agg(
-        *[
-            F.coalesce(
-                F.sum(
-                    F.when(
-                        (F.col("label") == label)
-                        & (F.col("champion") == a)
-                        & (F.col("challenger") == b),
-                        F.col("n"),
-                    )
-                ),
-                F.lit(0),
-            ).alias(f"c{position}")
-            for position, (label, a, b) in enumerate(_CELLS)
-        ]
-    )
-    draws = counts.select(
-        F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration"),
-        F.array(*[F.col(f"c{i}") for i in range(len(_CELLS))]).alias("cells"),
+    counts = cells.agg(*[
+        F.coalesce(F.sum(F.when(
+            (F.col("label") == label) & (F.col("champion") == a) & (F.col("challenger") == b), F.col("n"))), F.lit(0))
+        .cast("long").alias(f"c{position}")
+        for position, (label, a, b) in enumerate(_CELLS)
+    ])
+    names = [f"c{i}" for i in range(len(_CELLS))]
+    total = reduce(add, [F.col(c) for c in names])
+    drawn = counts.select(
+        F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration"), *names, total.alias("left"), total.alias("mass")
     ).repartition("iteration")
-    combos = _CELLS
-
-    def resample(batches):
-        import numpy as np
-
-        labels, champion, challenger = np.array(combos, dtype=bool).T
-
-        def f1(drawn, called):
-            tp = drawn[labels & called].sum()
-            wrong = drawn[labels != called].sum()
-            return 2 * tp / (2 * tp + wrong) if tp + wrong else 0.0
-
-        for batch in batches:
-            scores = {"champion_f1": [], "challenger_f1": []}
-            for iteration, row in zip(batch["iteration"], batch["cells"]):
-                observed = np.asarray(row, dtype="int64")
-                size = int(observed.sum())
-                draw = np.random.default_rng([seed, int(iteration)])
-                drawn = draw.multinomial(size, observed / max(size, 1)) if size else observed
-                scores["champion_f1"].append(float(f1(drawn, champion)))
-                scores["challenger_f1"].append(float(f1(drawn, challenger)))
-            yield batch[["iteration"]].assign(**scores)
-
-    schema = "iteration int, champion_f1 double, challenger_f1 double"
-    return draws.mapInPandas(resample, schema)
+    for i in range(len(names) - 1):
+        share = F.when(F.col("mass") > 0, F.col(f"c{i}") / F.col("mass")).otherwise(0.0)
+        at = [_uniform(seed, F.col("iteration"), str(i), use) for use in ("u", "v")]
+        drawn = drawn.withColumns({"p": share, "u": at[0], "v": at[1]})
+        drawn = drawn.withColumn(f"d{i}", _binomial(F.col("left"), F.col("p"), F.col("u"), F.col("v")))
+        drawn = drawn.withColumns({"left": F.col("left") - F.col(f"d{i}"), "mass": F.col("mass") - F.col(f"c{i}")})
+    numbers = [F.col(f"d{i}") for i in range(len(names) - 1)] + [F.col("left")]
+    return drawn.select("iteration", _f1_of(numbers, 1).alias("champion_f1"), _f1_of(numbers, 2).alias("challenger_f1"))
 
 
 def significance(

@@ -770,7 +770,7 @@ def ab_joint_cells(spark, sf):
 
 @query
 def bootstrap_f1(spark, sf):
-    return abtest.bootstrap_f1(ab_joint_cells(spark, sf))
+    return _rounded(abtest.bootstrap_f1(ab_joint_cells(spark, sf)))
 
 
 @query
