@@ -1,9 +1,10 @@
 """Counts by decreasing score without a single-task global sort.
 
 Area under the ROC curve and threshold choice need running totals over all scores.
-Scores are grouped first (hot values collapse before the shuffle), cut into slices at
-approximate quantiles, summed inside each slice, and offset by the totals of the
-higher slices.  There is one slice for every ``ROWS_PER_SLICE`` rows, so the window tasks
+The input is read once: the rows of each distinct score are counted (hot values collapse before the shuffle) and
+the counts are written.  Everything else comes from that table, however costly the scores are: it is cut into slices at
+approximate quantiles of the distinct scores, summed inside each slice, and offset by the totals of the
+higher slices.  There is one slice for every ``ROWS_PER_SLICE`` distinct scores, so the window tasks
 do not grow with the table; the totals have one row per slice and group.
 """
 
@@ -14,6 +15,9 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cardwatch.session import scratch_path
+from cardwatch.sinks.tables import write_table
+
 _SLICE = "__slice"
 LEAST_SLICES, ROWS_PER_SLICE = 256, 2_000_000
 
@@ -36,17 +40,19 @@ def ranked_counts(
 ) -> DataFrame:
     """Per group and distinct score: ``positives``/``negatives`` with exactly this
     score, ``true_positives``/``false_positives`` with at least it, and the group's
-    ``all_positives``/``all_negatives``.  ``slices`` is counted from the rows unless given.
+    ``all_positives``/``all_negatives``.  ``slices`` is counted from the distinct scores unless given.
     """
     rows = df.select(*keys, F.col(score).cast("double").alias(score), label)
     rows = rows.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    if slices is None:
-        slices = max(LEAST_SLICES, math.ceil(rows.count() / rows_per_slice))
-    bounds = _slice_bounds(rows, score, slices)
-    grouped = rows.groupBy(*keys, score).agg(
+    path = scratch_path(df.sparkSession, "scores")
+    write_table(rows.groupBy(*keys, score).agg(
         F.count_if(F.col(label) == 1).alias("positives"),
         F.count_if(F.col(label) == 0).alias("negatives"),
-    )
+    ), path)
+    grouped = df.sparkSession.read.parquet(path)
+    if slices is None:
+        slices = max(LEAST_SLICES, math.ceil(grouped.count() / rows_per_slice))
+    bounds = _slice_bounds(grouped, score, slices)
     cut = Bucketizer(splits=bounds, inputCol=score, outputCol=_SLICE, handleInvalid="keep")
     grouped = cut.transform(grouped)
 

@@ -92,8 +92,13 @@ def written_funnel(spark: SparkSession, target: str) -> DataFrame:
 
 
 def profile_files(spark: SparkSession, source: str, rejects: str | None = None) -> DataFrame:
-    """Profile of text files in one row; rows for quarantine go to ``rejects`` as CSV."""
-    rows = read_text_lines(spark, source)
+    """Profile of text files in one row; rows for quarantine go to ``rejects`` as CSV.
+
+    The text is read and parsed once; the three results come from the parsed columns.
+    """
+    parsed = scratch_path(spark, "parsed")
+    tables.write_table(read_text_lines(spark, source), parsed)
+    rows = spark.read.parquet(parsed)
     if rejects is not None:
         tables.write_rejects(cleaning.quarantine(rows), rejects)
     return side_by_side(quality.profile(rows), quality.duplicate_ids(rows))

@@ -145,3 +145,33 @@ def test_more_slices_than_the_least(spark):
     counts = ranking.ranked_counts(rows, "s", "y", rows_per_slice=5)
     assert ranking.area_under_roc(rows, "s", "y", slices=600).first().auc == pytest.approx(few, abs=1e-12)
     assert counts.count() == 3000 and counts.agg({"true_positives": "max"}).first()[0] == 1000
+
+
+def test_sketches_of_days_merge_to_a_range_within_the_stated_error(spark):
+    """The rank of a percentile over 40 merged days is as exact as that of one sketch."""
+    from cardwatch.operators import sketches
+
+    days, per_day = 40, 5000
+    rows = spark.range(days * per_day).selectExpr(
+        f"timestamp_ntz'2024-01-01' + make_dt_interval(cast(id div {per_day} as int)) as t",
+        "cast(pow(pmod(xxhash64(id), 1000000) / 1000000.0, 3) * 5000 as bigint) as ms", "id % 7000 as who")
+    rows = rows.unionByName(spark.createDataFrame([(None, None, None)], rows.schema))
+    daily = sketches.daily_delays(rows, "t", "ms", ("who",))
+    assert daily.count() == days
+    whole = sketches.read_delays(sketches.merge_days(sketches.merge_days(daily, "day", ids=("who",)), ids=("who",)), ("who",)).first()
+    assert whole.decisions == days * per_day and abs(whole.whos - 7000) <= 4 * sketches.distinct_error() * 7000
+    for value, rank in ((whole.median_ms, 0.5), (whole.p95_ms, 0.95)):
+        below, upto = rows.filter(F.col("ms") < value).count(), rows.filter(F.col("ms") <= value).count()
+        error = 2 * sketches.rank_error()
+        assert below / whole.decisions - error <= rank <= upto / whole.decisions + error
+
+
+def test_the_input_of_a_ranking_is_read_once(spark, tmp_path):
+    """Counts, cuts and totals come from the counted scores: the input can be gone by then."""
+    import shutil
+
+    path = f"{tmp_path}/scores"
+    spark.createDataFrame([(i % 37 / 37, i % 3 % 2) for i in range(500)], "s double, y int").write.parquet(f"file://{path}")
+    counts = ranking.ranked_counts(spark.read.parquet(f"file://{path}"), "s", "y")
+    shutil.rmtree(path)
+    assert counts.count() == 37 and counts.agg(F.max("true_positives")).first()[0] == 167

