@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardwatch.llm.store import written
 
-PREFIX_BYTES = 64
+PREFIX_CHARACTERS = 64
 BROADCAST_KEYS = 1_000_000
 SPACES = " \t\n\x0b\f\r"
 
@@ -28,18 +28,20 @@ def _at_least_two(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
 
 
-def repeated_keys(docs: DataFrame) -> DataFrame:
-    """The (length, prefix hash) pairs that more than one row has: two rounds on a narrow table."""
-    text = normalised(F.col("text"))
-    narrow = written(
-        docs.select(
-            F.octet_length(text).alias("length"),
-            F.xxhash64(F.substring(text, 1, PREFIX_BYTES)).alias("prefix"),
-        ).groupBy("length", "prefix").agg(F.count("*").alias("rows")),
-        "exact-narrow",
-    )
-    lengths = narrow.groupBy("length").agg(F.sum("rows").alias("n")).filter("n > 1").select("length")
-    return narrow.join(lengths, "length", "left_semi").filter("rows > 1").select("length", "prefix")
+def _bounded(keys: DataFrame, most: int) -> DataFrame:
+    """The keys for a join: sent to all executors while they are few, else left to a shuffle."""
+    return F.broadcast(keys) if keys.count() <= most else keys
+
+
+def repeated_keys(docs: DataFrame, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """The (length, prefix hash) pairs that more than one row has.
+
+    The first round counts lengths alone; the second hashes prefixes of rows whose length is repeated.
+    """
+    rows = docs.select(normalised(F.col("text")).alias("text")).withColumn("length", F.octet_length("text"))
+    lengths = _bounded(written(_at_least_two(rows, "length"), "exact-lengths"), broadcast_keys)
+    prefix = F.xxhash64(F.substring("text", 1, PREFIX_CHARACTERS)).alias("prefix")
+    return _at_least_two(rows.join(lengths, "length", "left_semi").select("length", prefix), "length", "prefix")
 
 
 def refine(docs: DataFrame, digest_all: bool = False, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
@@ -49,15 +51,14 @@ def refine(docs: DataFrame, digest_all: bool = False, broadcast_keys: int = BROA
     (16 bytes each) go to all executors and no text moves; above that they are joined by a
     shuffle.  ``text_sha256`` is null outside the surviving groups unless ``digest_all``.
     """
-    keys = written(repeated_keys(docs), "exact-keys")
-    keys = keys.withColumn("repeated", F.lit(True))
-    side = F.broadcast(keys) if keys.count() <= broadcast_keys else keys
+    keys = written(repeated_keys(docs, broadcast_keys), "exact-keys")
+    side = _bounded(keys.withColumn("repeated", F.lit(True)), broadcast_keys)
     text = normalised(F.col("text"))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
         F.char_length(F.coalesce(F.col("text"), F.lit(""))).alias("code_points"),
         F.octet_length(text).alias("length"),
-        F.xxhash64(F.substring(text, 1, PREFIX_BYTES)).alias("prefix"),
+        F.xxhash64(F.substring(text, 1, PREFIX_CHARACTERS)).alias("prefix"),
     )
     survives = F.coalesce(F.col("repeated"), F.lit(False))
     digest = F.sha2(F.encode("text", "UTF-8"), 256)

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cardwatch.llm.numbering import numbered
 from cardwatch.llm.store import written
 
 BLOCK = 256
@@ -118,10 +119,22 @@ def _fold(rows: DataFrame, level: int, seed: int, block: int, *carried: str) ->
     ).select("source", "piece", "rest", F.element_at("bits", F.col("item.at")).alias("bit"), "item.*")
 
 
+def _with_ref(rows: DataFrame) -> DataFrame:
+    """The rows with ``ref``, on which their block and draws hang.
+
+    Rows of equal id and size, such as many without id, are numbered apart: else they would all fall into one block and
+    share one draw.  Which of them gets which number makes no difference.
+    """
+    if rows.groupBy("doc_id", "size").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        return rows.withColumn("ref", F.xxhash64("doc_id", "size"))
+    added = rows.select("*", F.monotonically_increasing_id().alias("_row"), F.lit("").alias("_all"))
+    placed = numbered(written(added, "mix-repeated"), "_all", ["doc_id", "size", "source", "_row"], "mix-numbered")
+    return placed.select(*rows.columns, F.xxhash64("doc_id", "size", "pos").alias("ref"))
+
+
 def pivotal_rounding(rows: DataFrame, block: int = BLOCK, seed: int = 0, carried: Sequence[str] = ()) -> DataFrame:
     """Round the fractions ``p`` of (doc_id, source, size, p) to ``bit`` 0 or 1; ``carried`` columns stay."""
-    first = written(
-        _fold(rows.withColumn("ref", F.xxhash64("doc_id", "size")), 0, seed, block, "doc_id", *carried), "mix-0")
+    first = written(_fold(_with_ref(rows), 0, seed, block, "doc_id", *carried), "mix-0")
     left = first.filter("bit is null").select(
         "source", "size", F.xxhash64("source", "piece").alias("ref"), F.col("rest").alias("p"))
     decided, level = [], 0

@@ -59,7 +59,8 @@ WITH lines AS (
          unnest(range(len(string_split(text, chr(10))))) AS place
   FROM documents
 ), spread AS (
-  SELECT line FROM lines WHERE trim(line) <> '' GROUP BY line HAVING count(DISTINCT source) >= {linedup.MIN_SITES}
+  SELECT line FROM lines WHERE trim(line) <> '' GROUP BY line 
+  HAVING count(DISTINCT source) >= (SELECT greatest(2, least({linedup.MOST_SITES}, ceil(count(DISTINCT source) / 2))) FROM documents)
 ), kept AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE line IN (SELECT line FROM spread)) AS n_removed,
          string_agg(line, chr(10) ORDER BY place) FILTER (WHERE line NOT IN (SELECT line FROM spread)) AS text

@@ -49,6 +49,11 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + (f":{port}" if port else "") + ")" + tail if host else (url or "")
 
 
+def quoted(url: str) -> str:
+    """The URL as records have it: spaces and other letters than ASCII in percent form."""
+    return quote(url, safe="!#$%&'()*+,/:;=?@[]~")
+
+
 def _member(page_id, url, digest: str, size: int, payload: bytes | None, refers_to=None) -> bytes:
     """One record as gzip bytes without the zero byte that ends it."""
     block = b"" if payload is None else _HTTP + payload
@@ -56,7 +61,7 @@ def _member(page_id, url, digest: str, size: int, payload: bytes | None, refers_
         "WARC-Type": "response" if payload is not None else "revisit",
         "WARC-Record-ID": f"<urn:page:{'' if page_id is None else page_id}>",
         "WARC-Date": DATE,
-        "WARC-Target-URI": quote(url, safe="!#$%&'()*+,/:;=?@[]~") if url is not None else None,
+        "WARC-Target-URI": quoted(url) if url is not None else None,
         "WARC-Payload-Digest": f"sha256:{digest}",
         "WARC-Payload-Length": str(size),
         "WARC-Refers-To": None if refers_to is None else f"<urn:page:{refers_to}>",
@@ -246,7 +251,7 @@ def _range_of(spark: SparkSession, path: str, at: int, length: int) -> bytes:
 
 def lookup(spark: SparkSession, root: str, url: str) -> list[tuple]:
     """The captures of one URL, as rows of ``RECORD``: directory, then blocks, then byte ranges."""
-    key = url_key(url)
+    key = url_key(quoted(url))
     where = (F.col("first_key") <= key) & (F.col("last_key") >= key)
     numbers = [r.number for r in spark.read.parquet(f"{root}/directory").filter(where).select("number").toLocalIterator()]
     found = []

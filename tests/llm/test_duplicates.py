@@ -181,6 +181,30 @@ def test_lines(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_sites_that_a_line_needs(spark):
+    """Half of the sites of a small input, ten of a large one; salted occurrences give the same lines."""
+    for sites, least in ((0, 2), (3, 2), (5, 3), (19, 10), (400, 10)):
+        rows = [(i, "x", None, f"s{i}", None, None, 0, 0, 0, 0, 0) for i in range(sites)] + [(None,) * 11]
+        assert linedup.least_sites(frame(spark, rows)) == least
+    rows = [(i, f"menu\nown {i}\n{'half' if i % 2 else 'rare'}", "en", f"s{i % 4}", 0, "", 0, 0, 0, 0, 0) for i in range(40)]
+    got = [r.text for r in linedup.remove_boilerplate(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted(f"own {i}" for i in range(40))
+
+
+def test_lines_with_more_keys_than_are_sent_around(spark, monkeypatch):
+    rows = [(i, f"menu\nown {i}", "en", f"s{i % 5}", 0, "", 0, 0, 0, 0, 0) for i in range(60)]
+    monkeypatch.setattr(linedup, "BROADCAST_LINES", 0)
+    assert sorted(r.text for r in linedup.remove_boilerplate(frame(spark, rows)).collect()) == sorted(f"own {i}" for i in range(60))
+
+
+def test_length_round_leaves_prefixes_of_single_lengths_unhashed(spark):
+    rows = [(i, "a" * i, None, None, None, None, 0, 0, 0, 0, 0) for i in range(20)] + [(50, "b" * 7, None, None, None, None, 0, 0, 0, 0, 0)] * 2
+    keys = {r.length for r in exactdup.repeated_keys(frame(spark, rows)).collect()}
+    assert keys == {7}
+    got = {r.doc_id: r.group_size for r in exactdup.refine(frame(spark, rows), broadcast_keys=0).collect()}
+    assert got[50] == 2 and all(n == 1 for i, n in got.items() if i != 50)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], DOCS)
     for result in (neardup.components_of(none), exactdup.refine(none), longmatch.remove_repeats(none),

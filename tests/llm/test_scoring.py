@@ -283,6 +283,8 @@ def test_archives(spark, tmp_path):
     assert sorted(((r[0], *r[2:5], r[5], None if r[6] is None else bytes(r[6])) for r in got), key=str) == sorted(want, key=str)
     assert {r[0] for r in warc.lookup(spark, root, "http://big.example/")} == {100, 101}
     assert warc.lookup(spark, root, "http://none.example/") == []
+    odd = next(p for p in pages if p[1] and " " in p[1])
+    assert {r[0] for r in warc.lookup(spark, root, odd[1])} == {p[0] for p in pages if p[1] == odd[1]}
     records = b"".join(gzip.decompress(f.read_bytes()) for f in (tmp_path / "warc/archives").glob("part-*"))
     assert records.count(b"WARC/1.1\r\n") == len(pages)
 
@@ -304,3 +306,14 @@ def test_empty_tables(spark, tmp_path):
                    warc.round_trip(pages, f"file://{tmp_path}/none")):
         assert result.count() == 0
     assert {r.score for r in quality.classify(frame(spark, documents(2)), marks).collect()} == {0.5}
+
+
+def test_many_rows_of_one_size_without_id_are_mixed_in_bounded_blocks(spark):
+    """5 000 equal rows: no block holds more than a few times its size, and their draws differ."""
+    rows = spark.range(5000).selectExpr("cast(null as long) as doc_id", "'s' as source", "cast(7 as long) as size", "0.5 as p")
+    placed = mixing._with_ref(rows)
+    assert placed.select("ref").distinct().count() == 5000
+    folded = mixing._fold(placed, 0, 0, mixing.BLOCK, "doc_id")
+    assert folded.groupBy("piece").count().agg({"count": "max"}).first()[0] <= 2 * mixing.BLOCK
+    bits = mixing.pivotal_rounding(rows).groupBy("bit").count().collect()
+    assert {r.bit: r["count"] for r in bits} == {0: 2500, 1: 2500}
