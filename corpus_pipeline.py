@@ -29,7 +29,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def _numbered(docs: DataFrame, label: str) -> DataFrame:
     """The rows with ``row``, a number of their own; written, as numbers hold for one reading only."""
-    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), label)
+    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), label, "zstd")
 
 
 def _by_row(rows: DataFrame) -> DataFrame:
