@@ -7,8 +7,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from cardwatch.operators.feature_views import historical_features, latest_features
 from cardwatch.plans import jobs
-from cardwatch.sinks import tables
+from cardwatch.plans.driver_features import BATCH, CATALOG, KEY, PUSHED
+from cardwatch.sinks import buckets, tables
+from cardwatch.sinks.observed import written_counts
+from cardwatch.sources.features import read_feature_source
 from cardwatch.sources.messages import EARLIEST, LATEST, read_message_stream
 from cardwatch.sources.transactions import read_headed_csv
 from cardwatch.streaming.runs import finish
@@ -68,6 +72,36 @@ def score_stream(spark, args):
     return read_progress(spark, args.output)
 
 
+def _wanted(text: str) -> str | list[str]:
+    """The name of a feature set, or references parted by commas."""
+    names = text.split(",")
+    return names[0] if len(names) == 1 and ":" not in text else names
+
+
+def features(spark, args):
+    """Training rows: entities with their features as they were, or as of one instant."""
+    sources = {BATCH: read_feature_source(spark, args.source), PUSHED: read_feature_source(spark, args.pushed or args.source)}
+    rows = historical_features(CATALOG, spark.read.parquet(args.entities), _wanted(args.features), sources, as_of=args.as_of)
+    counts = written_counts(rows, F.count(F.lit(1)).alias("rows"), write=lambda r: tables.write_table(r, args.output))
+    return spark.range(1).select(F.lit(counts["rows"]).alias("rows"))
+
+
+def materialize(spark, args):
+    """Bring the bucketed latest values up to an instant."""
+    written = buckets.materialize_buckets(
+        read_feature_source(spark, args.source), args.root, KEY, args.end, buckets=args.buckets)
+    return spark.range(1).select(F.lit(len(written)).alias("buckets_written"))
+
+
+def lookup(spark, args):
+    """Request rows with the latest values of their keys and on-demand features."""
+    requests = spark.read.parquet(args.requests)
+    held = buckets.asked_rows(requests, args.root, KEY)
+    rows = latest_features(CATALOG, requests, _wanted(args.features), {BATCH: held, PUSHED: held})
+    counts = written_counts(rows, F.count(F.lit(1)).alias("rows"), write=lambda r: tables.write_table(r, args.output))
+    return spark.range(1).select(F.lit(counts["rows"]).alias("rows"))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="cardwatch")
     jobs_of = top.add_subparsers(dest="job", required=True)
@@ -99,6 +133,13 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--path")
     sub.add_argument("--option", action="append", default=[], help="name=value")
 
+    sub = job("features", features, "entities", "source", "features", "output")
+    sub.add_argument("--pushed", help="pushed feature rows, where they are kept apart")
+    sub.add_argument("--as-of", help="one instant for all rows")
+    sub = job("materialize", materialize, "source", "root", "end")
+    sub.add_argument("--buckets", type=int, default=buckets.BUCKETS, help="of the first version")
+    job("lookup", lookup, "requests", "root", "features", "output")
+
     sub = job("score-stream", score_stream, "registry", "model-name", "schema", "output", "checkpoint")
     sub.add_argument("--source", default="text")
     sub.add_argument("--path")

@@ -77,9 +77,18 @@ def materialize_buckets(
     return merge_buckets(step, root, key, time=time, created=created, buckets=buckets, covered_until=end)
 
 
-def lookup_buckets(requests: DataFrame, root: str, key: str | list[str], schema: StructType, features: list[str]) -> DataFrame:
-    """Each request row with its key's latest values, from the buckets of the requested keys alone."""
+def asked_rows(requests: DataFrame, root: str, key: str | list[str], schema: StructType | None = None) -> DataFrame:
+    """The table's rows in the buckets of the requested keys; the schema is that of its files unless given."""
     spark, keys = requests.sparkSession, [key] if isinstance(key, str) else list(key)
     entries = directory(spark, root)
+    if schema is None:
+        if not entries:
+            raise ValueError(f"nothing was published below {root}")
+        schema = spark.read.parquet(entries[0].folder).schema
     only = _asked(requests, keys, entries[0].buckets) if entries else set()
-    return lookup_latest(requests, read_buckets(spark, entries, schema, only), keys, features)
+    return read_buckets(spark, entries, schema, only)
+
+
+def lookup_buckets(requests: DataFrame, root: str, key: str | list[str], schema: StructType, features: list[str]) -> DataFrame:
+    """Each request row with its key's latest values, from the buckets of the requested keys alone."""
+    return lookup_latest(requests, asked_rows(requests, root, key, schema), key, features)
