@@ -22,6 +22,8 @@ SIDES = ("champion", "challenger")
 PROMOTE, KEEP = "PROMOTE", "KEEP_CHAMPION"
 SMALL_MEAN, STEPS = 50, 150
 _CELLS = [(label, a, b) for label in (0, 1) for a in (0, 1) for b in (0, 1)]
+# Cells on which both sides agree, and pairs on which they differ: drawn as one and then split, so swapping sides swaps the draws.
+_GROUPS = [(0,), (3,), (1, 2), (4,), (7,), (5, 6)]
 
 
 def compare_metrics(
@@ -101,8 +103,8 @@ def _f1_of(cells: list[Column], side: int) -> Column:
 def bootstrap_f1(cells: DataFrame, iterations: int = 1000, seed: int = 42) -> DataFrame:
     """Fraud F1 of both sides in each resample; both see the same resample.
 
-    ``cells`` comes from :func:`cardwatch.operators.confusion.joint_cells`.  A resample is drawn cell by cell: given
-    what the cells before took, a cell's number is binomial.  Draws hang on md5 hashes of (seed, iteration, cell), so any
+    ``cells`` comes from :func:`cardwatch.operators.confusion.joint_cells`.  A resample is drawn group by group: given
+    what the groups before took, a group's number is binomial.  Draws hang on md5 hashes of (seed, iteration, cell), so any
     engine can repeat them.  Means below ``SMALL_MEAN`` use the exact distribution, larger ones the normal quantile with
     its skew term, whose error is far below one row's effect on F1.
     """
@@ -117,14 +119,24 @@ def bootstrap_f1(cells: DataFrame, iterations: int = 1000, seed: int = 42) -> Da
     drawn = counts.select(
         F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration"), *names, total.alias("left"), total.alias("mass")
     ).repartition("iteration")
-    for i in range(len(names) - 1):
-        share = F.when(F.col("mass") > 0, F.col(f"c{i}") / F.col("mass")).otherwise(0.0)
+
+    def with_draw(frame: DataFrame, i: int, n: str, part: Column, whole: Column) -> DataFrame:
+        share = F.when(whole > 0, part / whole).otherwise(0.0)
         at = [_uniform(seed, F.col("iteration"), str(i), use) for use in ("u", "v")]
-        drawn = drawn.withColumns({"p": share, "u": at[0], "v": at[1]})
-        drawn = drawn.withColumn(f"d{i}", _binomial(F.col("left"), F.col("p"), F.col("u"), F.col("v")))
-        drawn = drawn.withColumns({"left": F.col("left") - F.col(f"d{i}"), "mass": F.col("mass") - F.col(f"c{i}")})
-    numbers = [F.col(f"d{i}") for i in range(len(names) - 1)] + [F.col("left")]
-    return drawn.select("iteration", _f1_of(numbers, 1).alias("champion_f1"), _f1_of(numbers, 2).alias("challenger_f1"))
+        frame = frame.withColumns({"p": share, "u": at[0], "v": at[1]})
+        return frame.withColumn(f"g{i}", _binomial(F.col(n), F.col("p"), F.col("u"), F.col("v")))
+
+    for i, cells_of in enumerate(_GROUPS[:-1]):
+        part = reduce(add, [F.col(f"c{c}") for c in cells_of])
+        drawn = with_draw(drawn, i, "left", part, F.col("mass"))
+        drawn = drawn.withColumns({"left": F.col("left") - F.col(f"g{i}"), "mass": F.col("mass") - part})
+    drawn = drawn.withColumnRenamed("left", f"g{len(_GROUPS) - 1}")
+    numbers = {cells_of[0]: F.col(f"g{i}") for i, cells_of in enumerate(_GROUPS) if len(cells_of) == 1}
+    for i, (group, (one, other)) in enumerate(((g, c) for g, c in enumerate(_GROUPS) if len(c) == 2), len(_GROUPS)):
+        drawn = with_draw(drawn, i, f"g{group}", F.col(f"c{one}"), F.col(f"c{one}") + F.col(f"c{other}"))
+        numbers |= {one: F.col(f"g{i}"), other: F.col(f"g{group}") - F.col(f"g{i}")}
+    ordered = [numbers[i] for i in range(len(_CELLS))]
+    return drawn.select("iteration", _f1_of(ordered, 1).alias("champion_f1"), _f1_of(ordered, 2).alias("challenger_f1"))
 
 
 def significance(

@@ -634,25 +634,35 @@ def _bootstrap(iterations: int = 1000, seed: int = 42) -> str:
     counts = ", ".join(
         f"count(*) FILTER (tx_fraud = {y} AND pred_a = {a} AND pred_b = {b}) AS c{i}" for i, (y, a, b) in enumerate(cells))
     total = " + ".join(f"c{i}" for i in range(8))
+    groups = [(0,), (3,), (1, 2), (4,), (7,), (5, 6)]
     steps = [f"s0 AS (SELECT i.iteration, n.*, {total} AS rest, {total} AS mass FROM range({iterations}) i(iteration), (SELECT {counts} FROM scored) n)"]
-    for i in range(7):
+
+    def draw(i: int, number: str, part: str, whole: str) -> None:
         def uniform(use: str) -> str:
             text = f"'{seed}|' || iteration || '|{i}|{use}'"
             return f"(CAST(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0"
 
-        steps.append(f"p{i} AS (SELECT *, CASE WHEN mass > 0 THEN CAST(c{i} AS DOUBLE) / mass ELSE 0.0 END AS p, "
+        steps.append(f"p{i} AS (SELECT *, {number} AS m, CASE WHEN {whole} > 0 THEN CAST({part} AS DOUBLE) / ({whole}) ELSE 0.0 END AS p, "
                      f"{uniform('u')} AS u, {uniform('v')} AS v FROM s{i})")
         steps.append(f"q{i} AS (SELECT *, least(p, 1 - p) AS r, sqrt(-2 * ln(u)) * cos(2 * pi() * v) AS z FROM p{i})")
         steps.append(
-            f"e{i} AS (SELECT *, list_transform(range(150), lambda k: CASE WHEN k > rest THEN 0.0 WHEN r <= 0 THEN CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END "
-            "ELSE exp(lgamma(rest + 1) - lgamma(k + 1) - lgamma(rest - k + 1) + k * ln(r) + (rest - k) * ln(1 - r)) END) AS terms "
+            f"e{i} AS (SELECT *, list_transform(range(150), lambda k: CASE WHEN k > m THEN 0.0 WHEN r <= 0 THEN CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END "
+            "ELSE exp(lgamma(m + 1) - lgamma(k + 1) - lgamma(m - k + 1) + k * ln(r) + (m - k) * ln(1 - r)) END) AS terms "
             f"FROM q{i})")
-        few = "len(list_filter(range(150), lambda k: k < rest AND list_sum(terms[1:k + 1]) < u))"
-        many = "least(greatest(floor(rest * r + z * sqrt(rest * r * (1 - r)) + (1 - 2 * r) * (z * z - 1) / 6 + 0.5), 0), rest)"
-        steps.append(f"f{i} AS (SELECT *, CAST(CASE WHEN rest * r < 50 THEN {few} ELSE {many} END AS BIGINT) AS rare FROM e{i})")
-        steps.append(f"g{i} AS (SELECT *, CASE WHEN p > 0.5 THEN rest - rare ELSE rare END AS d{i} FROM f{i})")
-        steps.append(f"s{i + 1} AS (SELECT * EXCLUDE (p, u, v, r, z, terms, rare) REPLACE (rest - d{i} AS rest, mass - c{i} AS mass) FROM g{i})")
-    numbers = [f"d{i}" for i in range(7)] + ["rest"]
+        few = "len(list_filter(range(150), lambda k: k < m AND list_sum(terms[1:k + 1]) < u))"
+        many = "least(greatest(floor(m * r + z * sqrt(m * r * (1 - r)) + (1 - 2 * r) * (z * z - 1) / 6 + 0.5), 0), m)"
+        steps.append(f"f{i} AS (SELECT *, CAST(CASE WHEN m * r < 50 THEN {few} ELSE {many} END AS BIGINT) AS rare FROM e{i})")
+        steps.append(f"h{i} AS (SELECT * EXCLUDE (m, p, u, v, r, z, terms, rare), CASE WHEN p > 0.5 THEN m - rare ELSE rare END AS g{i} FROM f{i})")
+
+    for i, of in enumerate(groups[:-1]):
+        part = "(" + " + ".join(f"c{c}" for c in of) + ")"
+        draw(i, "rest", part, "mass")
+        steps.append(f"s{i + 1} AS (SELECT * REPLACE (rest - g{i} AS rest, mass - {part} AS mass) FROM h{i})")
+    steps.append("s6 AS (SELECT * EXCLUDE (rest, mass), rest AS g5 FROM s5)")
+    draw(6, "g2", "c1", "c1 + c2")
+    steps.append("s7 AS (SELECT * FROM h6)")
+    draw(7, "g5", "c5", "c5 + c6")
+    numbers = ["g0", "g6", "(g2 - g6)", "g1", "g3", "g7", "(g5 - g7)", "g4"]
 
     def f1(side: int) -> str:
         tp = " + ".join(n for n, c in zip(numbers, cells) if c[0] and c[side])
@@ -660,7 +670,7 @@ def _bootstrap(iterations: int = 1000, seed: int = 42) -> str:
         return f"CASE WHEN {tp} + {wrong} > 0 THEN 2.0 * ({tp}) / (2 * ({tp}) + {wrong}) ELSE 0 END"
 
     return (f"WITH {', '.join(steps)} SELECT CAST(iteration AS INTEGER) AS iteration, round({f1(1)}, 9) AS champion_f1, "
-            f"round({f1(2)}, 9) AS challenger_f1 FROM s7")
+            f"round({f1(2)}, 9) AS challenger_f1 FROM h7")
 
 
 BODIES["bootstrap_f1"] = _bootstrap()
