@@ -12,7 +12,7 @@ from cardwatch.operators.confusion import joint_cells
 from cardwatch.operators.rows import side_by_side
 from cardwatch.plans import registry
 from cardwatch.schema import TRANSACTION_COLUMNS
-from cardwatch.session import scratch_path
+from cardwatch.session import scratch_path, sibling_session
 from cardwatch.sinks import tables
 from cardwatch.sinks.observed import written_counts
 from cardwatch.sources.messages import as_messages
@@ -42,7 +42,7 @@ def clean_files(spark: SparkSession, source: str, target: str, strict: bool = Fa
     neither a hot id nor a hot line fills a task, and nothing is lost: ``copies`` says
     how many lines a row stands for.  Returns the funnel as the write itself counted it; see ``written_counts``.
     """
-    lines = parse_csv_lines(spark.read.text(source), keep=True)
+    lines = parse_csv_lines(sibling_session(spark).read.text(source), keep=True)
     rows = cleaning.classify(lines, strict, keep=("line",))
     kept = F.col("outcome") == cleaning.KEPT
     ranked = cleaning.earliest_first(list(TRANSACTION_COLUMNS), "transaction_id", ("tx_datetime",))

@@ -33,3 +33,16 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_root(spark)}/cardwatch/{label}-{uuid.uuid4().hex}"
+
+
+def sibling_session(spark: SparkSession) -> SparkSession:
+    """Another session of the same application with the same settings.
+
+    A session in which a batch was observed cannot be shipped to tasks any more, and freshly fitted models ship theirs; so
+    observed batches run in a session beside it.
+    """
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other

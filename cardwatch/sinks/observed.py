@@ -12,6 +12,7 @@ def written_counts(rows: DataFrame, *counts: Column, write: Callable[[DataFrame]
 
     The figures come from the tasks that write.  Spark takes one result per task of a job's last stage, so a retried or
     speculative task does not count twice.  Aggregates are named by their aliases; counts of no rows are 0.
+    The rows should belong to a session in which no models are fitted: see ``sibling_session``.
     """
     seen = Observation()
     write(rows.observe(seen, *counts))

@@ -131,3 +131,17 @@ def test_both_scans_and_both_paths_agree(spark, tmp_path):
         assert cleaning.clean(rows).count() == 1
     report = jobs.clean_files(spark, path, out)
     assert report.first().rows_kept == jobs.read_clean(spark, out).count() == 1
+
+
+def test_models_can_be_fitted_after_the_cleaning_job(spark, tmp_path):
+    """The job observes its write in a session of its own; the session itself can still be shipped with a fresh model."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    source, target = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    tables.write_log(lines(spark), source)
+    jobs.clean_files(spark, source, target)
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame([(float(i), float(i > 5)) for i in range(10)], "x double, label double"))
+    assert LogisticRegression(maxIter=3).fit(rows).transform(rows).select("probability").count() == 10
+    assert LogisticRegression(maxIter=3).fit(rows).transform(rows).select("probability").collect()

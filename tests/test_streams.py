@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwatch.operators.monitoring import daily_cells
+from cardwatch.session import sibling_session
 from cardwatch.sinks import tables
 from cardwatch.sinks.observed import written_counts
 from cardwatch.sources.messages import as_messages, decode, read_message_stream, unique_messages
@@ -242,7 +243,9 @@ def test_sent_figures_come_from_the_batches(spark, tmp_path):
 
 def test_observed_counts_read_nothing_back(spark, tmp_path):
     """One query runs: the write, which counts the rows it writes; no rows count 0."""
-    rows = spark.range(1000, numPartitions=6).withColumn("id", F.col("id") * 1)
+    beside = sibling_session(spark)
+    assert beside.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    rows = beside.range(1000, numPartitions=6).withColumn("id", F.col("id") * 1)
     store = spark._jsparkSession.sharedState().statusStore()
     for name, some, want in (("all", rows, {"n": 1000, "total": 499500}), ("none", rows.filter("id % 2 = 3"), {"n": 0, "total": 0})):
         before = store.executionsCount()
