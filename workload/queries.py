@@ -640,14 +640,24 @@ def fit(table: DataFrame, kind: str) -> PipelineModel:
     return modeling.model_stages(chosen, "fraud", kind).fit(views.train_part(table))
 
 
+def _calls(spark, model: PipelineModel, table: DataFrame) -> DataFrame:
+    """The model's calls on the held-out part, written once and read by several metrics."""
+    path = scratch_path(spark, "calls")
+    tables.write_table(modeling.calls(modeling.score(model, views.test_part(table)), "fraud"), path)
+    return spark.read.parquet(path)
+
+
+def _evaluated(spark, model: PipelineModel, table: DataFrame) -> DataFrame:
+    return modeling.evaluate(_calls(spark, model, table))
+
+
 def _trained(kind: str) -> Query:
     """How a fit does on the held-out part: its size, and whether the figures are those of a model that learnt."""
 
     def run(spark, sf):
         table = views.training(views.tx(spark, sf))
-        model, path = fit(table, kind), scratch_path(spark, "calls")
-        tables.write_table(modeling.calls(modeling.score(model, views.test_part(table)), "fraud"), path)
-        made = spark.read.parquet(path)
+        model = fit(table, kind)
+        made = _calls(spark, model, table)
         share = F.avg("label")
         sizes = made.agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("fraud"), F.greatest(share, 1 - share).alias("usual"))
         found = side_by_side(sizes, modeling.evaluate(made)).select(
