@@ -5,8 +5,8 @@ that alerts can rest on them.  A row whose day is over by the watermark of its m
 counts instead, as do rows without a time.  So closed, late and still open counts add up to all rows.
 :mod:`cardwatch.streaming.quality` gives the exact figures of any day at any moment, late rows included.
 
-A day's counts are kept in ``PARTS`` states, dealt by the hash of the row, and summed when they close: one busy day does
-not fill one task.  Times are without zone and are read as UTC for the watermark.
+Tasks sum their rows by day before the shuffle: the state is sent sums and not rows, so one busy day does not fill one
+task.  Times are without zone and are read as UTC for the watermark.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -21,17 +22,36 @@ from cardwatch.operators.confusion import false_positive_rate, recall
 from cardwatch.operators.monitoring import cell_alerts
 from cardwatch.streaming.runs import batch_folder, keyed_state, read_batches, running_query, with_trigger
 
-PARTS = 16
 CLOSED, LATE = "closed", "late"
 COUNTS = ("tp", "fp", "fn", "tn")
 CELLS = "tp bigint, fp bigint, fn bigint, tn bigint, missed_loss double"
+SUMMED = f"day_end bigint, {CELLS}"
+HELD_ROWS = 1 << 16
 EMITTED = f"kind string, day_end bigint, {CELLS}"
 DAY_SCHEMA = f"kind string, day date, {CELLS}"
 SECONDS = 86_400
 
 
+def _by_day(tables: list[pa.Table]) -> pa.Table:
+    names = [*COUNTS, "missed_loss"]
+    sums = pa.concat_tables(tables).group_by("day_end").aggregate([(name, "sum") for name in names])
+    return sums.select(["day_end", *(f"{name}_sum" for name in names)]).rename_columns(["day_end", *names])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's rows by day; at most ``HELD_ROWS`` sums and a batch are held."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        held.append(_by_day([pa.Table.from_batches([batch])]))
+        if sum(map(len, held)) > HELD_ROWS:
+            yield from _by_day(held).to_batches()
+            held = []
+    if held:
+        yield from _by_day(held).to_batches()
+
+
 class DayState(StatefulProcessor):
-    """The counts of one part of a day, until the watermark reaches its end."""
+    """The counts of a day, until the watermark reaches its end."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -66,8 +86,8 @@ class DayState(StatefulProcessor):
                              "missed_loss": [float(cells["missed_loss"])]})
 
 
-def _parted(scored: DataFrame, time: str, label: str, prediction: str, amount: str | None, lateness: str) -> DataFrame:
-    """One row of counts per scored row, its day's end and part, under a watermark on ``time``."""
+def _counted(scored: DataFrame, time: str, label: str, prediction: str, amount: str | None, lateness: str) -> DataFrame:
+    """Counts of the scored rows by their day's end, summed task by task, under a watermark on ``time``."""
     actual, called = F.col(label) == 1, F.col(prediction) == 1
     micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(`{time}` AS TIMESTAMP_NTZ))")
     missed = F.when(actual & ~F.coalesce(called, F.lit(False)), F.col(amount)) if amount else F.lit(None)
@@ -75,12 +95,11 @@ def _parted(scored: DataFrame, time: str, label: str, prediction: str, amount: s
     rows = scored.select(
         F.timestamp_micros(micros).alias("at"),
         ((F.floor(micros / (SECONDS * 1_000_000)) + 1) * SECONDS).cast("bigint").alias("day_end"),
-        F.pmod(F.xxhash64(*[c for c in (time, label, prediction, amount) if c]), F.lit(PARTS)).alias("part"),
         *[F.coalesce(cell, F.lit(False)).cast("bigint").alias(name) for name, cell in cells.items()],
-        F.coalesce(missed.cast("double"), F.lit(0.0)).alias("missed_loss"),
+        F.coalesce(F.nanvl(missed.cast("double"), F.lit(0.0)), F.lit(0.0)).alias("missed_loss"),
     )
     # The state must see late rows to count them, so the time itself is not handed on.
-    return rows.withWatermark("at", lateness).drop("at")
+    return rows.withWatermark("at", lateness).drop("at").mapInArrow(_summed, SUMMED)
 
 
 def start_closed_days(
@@ -88,8 +107,8 @@ def start_closed_days(
     amount: str | None = None, lateness: str = "2 days", every: str | None = None,
 ) -> StreamingQuery:
     """Close the days of a stream of scored rows once the newest time is ``lateness`` past their end."""
-    rows = _parted(scored, time, label, prediction, amount, lateness)
-    emitted = rows.groupBy("day_end", "part").transformWithStateInPandas(DayState(), EMITTED, "append", "eventTime")
+    rows = _counted(scored, time, label, prediction, amount, lateness)
+    emitted = rows.groupBy("day_end").transformWithStateInPandas(DayState(), EMITTED, "append", "eventTime")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         day = F.expr(f"date_add(DATE'1970-01-01', CAST(day_end div {SECONDS} - 1 AS INT))")

@@ -174,6 +174,31 @@ def test_parts_of_a_busy_day_are_one_day(spark, tmp_path):
     assert [r.transactions for r in days.closed_days(spark, out).collect()] == [3000]
 
 
+def test_the_state_is_sent_sums(spark, tmp_path):
+    """Rows are summed by day before the shuffle: a busy day is one state, and amounts that are no number count nothing."""
+    source, schema = f"file://{tmp_path}/scored", spark.createDataFrame([], f"{SCORED}, amount double").schema
+    busy = [(datetime(2024, 1, 1 + i % 2, i % 24, i % 60), 1, 0, float("nan") if i % 10 == 0 else 2.0) for i in range(2000)]
+    spark.createDataFrame(busy, schema).write.parquet(source)
+    out = f"file://{tmp_path}/days"
+    query = days.start_closed_days(spark.readStream.schema(schema).parquet(source), "at", "y", "p", out, f"file://{tmp_path}/checkpoint",
+                                   amount="amount", lateness="0 days")
+    finish(query)
+    assert [(r.fn, r.missed_loss) for r in days.closed_cells(spark, out).collect()] == [(1000, 1600.0)]
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) < 16
+
+
+def test_sums_of_many_days_are_held_in_part(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(days, "HELD_ROWS", 4)
+    batches = [pa.RecordBatch.from_pydict({"day_end": [d, d, None], "tp": [1, 1, 1], "fp": [0, 0, 0], "fn": [0, 0, 0], "tn": [0, 0, 0],
+                                           "missed_loss": [0.5, 0.5, 0.5]}) for d in (1, 2, 1, 3, 4, 1)]
+    found = {}
+    for row in (r for b in days._summed(iter(batches)) for r in b.to_pylist()):
+        found[row["day_end"]] = found.get(row["day_end"], 0) + row["tp"]
+    assert found == {1: 6, 2: 2, 3: 2, 4: 2, None: 6}
+
+
 FEATURES = "driver int, event_timestamp timestamp_ntz, created timestamp_ntz, rate double, note string"
 
 
