@@ -49,9 +49,9 @@ class NewestRow(StatefulProcessor):
     for ``ttl`` is forgotten.
     """
 
-    def __init__(self, schema: StructType, order: list[str], ttl: timedelta | None):
+    def __init__(self, schema: StructType, order: list[str], ttl: timedelta):
         self.schema, self.order = schema, order
-        self.ttl_ms = None if ttl is None else int(ttl.total_seconds() * 1000)
+        self.ttl_ms = int(ttl.total_seconds() * 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.newest = handle.getValueState("newest", self.schema, self.ttl_ms)
@@ -87,6 +87,18 @@ def _plain(value):
     return value.item() if hasattr(value, "item") else value
 
 
+def newest_in_state(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The keys' newest rows, kept as the state of an aggregation and given out by the micro-batch that brought them.
+
+    Rows are combined before the shuffle.  ``seen`` is the negative time of the micro-batch: of equal rows the one seen first
+    stays, so a repeated row is no change.
+    """
+    seen = -F.unix_micros(F.current_timestamp())
+    tagged = rows.select(F.col(key).alias("key"), F.struct(*order).alias("row"), seen.alias("seen"))
+    kept = tagged.groupBy("key").agg(F.max(F.struct("row", "seen")).alias("newest")).filter(F.col("newest.seen") == seen)
+    return kept.select(F.col("key").alias(key), "newest.row.*").select(rows.columns)
+
+
 def start_latest(
     rows: DataFrame, root: str, key: str, checkpoint: str, *, time: str = "event_timestamp", created: str | None = "created",
     ttl: timedelta | None = None, every: str | None = None,
@@ -99,8 +111,10 @@ def start_latest(
     """
     first = [time] if created is None else [time, created]
     order = [*first, *[c for c in rows.columns if c not in (key, *first)]]
-    newest = rows.groupBy(key).transformWithStateInPandas(
-        NewestRow(rows.schema, order, ttl), rows.schema, "update", "none" if ttl is None else "processingTime")
+    if ttl is None:
+        newest = newest_in_state(rows, key, order)
+    else:
+        newest = rows.groupBy(key).transformWithStateInPandas(NewestRow(rows.schema, order, ttl), rows.schema, "update", "processingTime")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(batch_folder(f"{root}/changes", running_query(batch), batch_id))

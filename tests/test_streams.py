@@ -225,6 +225,21 @@ def test_newest_rows_as_state(spark, tmp_path):
     assert changes == sorted([(1, "a"), (2, "b"), (None, "none"), (2, "created"), (1, None), (2, "d")], key=str)
 
 
+def test_newest_rows_are_kept_by_an_aggregation(spark, tmp_path):
+    """No Python runs for a key; a row that is sent again is no change; large numbers beside nulls stay exact."""
+    schema = "driver int, event_timestamp timestamp_ntz, created timestamp_ntz, trips bigint, note string"
+    source, root = f"file://{tmp_path}/features", f"file://{tmp_path}/root"
+    day, large = datetime(2024, 1, 2), 2**53 + 1
+    for part in ([(1, day, day, large, "a"), (1, day, day, None, "b"), (2, None, None, None, None)], [(1, day, day, large, "a"), (2, None, None, None, None)]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(spark.createDataFrame([], schema).schema).parquet(source)
+        query = push.start_latest(stream, root, "driver", f"file://{tmp_path}/checkpoint")
+        finish(query)
+    changes = read_batches(spark, f"{root}/changes", spark.createDataFrame([], schema).schema)
+    assert sorted((r.driver, r.trips, r.batch_id) for r in changes.collect()) == [(1, large, 0), (2, None, 0)]
+    assert {o.operatorName for p in query.recentProgress for o in p.stateOperators} == {"stateStoreSave"}
+
+
 def test_quiet_state_expires(spark, tmp_path):
     """After the time to live the key is new: its next row is a change although an older one was kept longer."""
     import time
