@@ -210,3 +210,35 @@ def test_empty_tables(spark):
     for result in (neardup.components_of(none), exactdup.refine(none), longmatch.remove_repeats(none),
                    linedup.remove_boilerplate(none)):
         assert result.count() == 0
+
+
+def test_a_run_index_is_built_in_little_memory():
+    """Less than 100 bytes at a time for each byte of the strings, also where the runs are short."""
+    import tracemalloc
+
+    import numpy as np
+
+    from cardwatch.llm.runindex import RunIndex
+
+    draw = np.random.default_rng(5)
+    lengths = draw.integers(50, 129, 3000)
+    data, first = draw.integers(97, 110, lengths.sum()).astype(np.uint8), np.append(0, np.cumsum(lengths))
+    tracemalloc.start()
+    RunIndex.build(data, first, np.arange(3000), 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(data)
+
+
+def test_run_indexes_of_short_and_empty_strings():
+    import numpy as np
+
+    from cardwatch.llm.runindex import RunIndex
+
+    for strings in ([b""], [b"a", b""], [b"abcabca", b"bcabca", b"\xff" * 9, b"\xff" * 8, b"xabcabca"]):
+        lengths = np.array([len(s) for s in strings])
+        data, first = np.frombuffer(b"".join(strings), np.uint8), np.append(0, np.cumsum(lengths))
+        found = RunIndex.build(data, first, np.arange(len(strings)), 7).earliest(lengths, 7)
+        want = {(i, at, next(j for j, t in enumerate(strings) if s[at:at + 7] in t))
+                for i, s in enumerate(strings) for at in range(len(s) - 6)}
+        assert set(zip(*(c.tolist() for c in found))) == want
