@@ -242,3 +242,51 @@ def test_run_indexes_of_short_and_empty_strings():
         want = {(i, at, next(j for j, t in enumerate(strings) if s[at:at + 7] in t))
                 for i, s in enumerate(strings) for at in range(len(s) - 6)}
         assert set(zip(*(c.tolist() for c in found))) == want
+
+
+@pytest.mark.parametrize("key_bits", [63, 0])
+def test_a_run_index_has_the_runs_of_all_sorted_suffixes(monkeypatch, key_bits):
+    """Also where two ranks and a place do not fit one key; only suffixes of ``width`` bytes have samples."""
+    from cardwatch.llm import runindex
+
+    monkeypatch.setattr(runindex, "_KEY_BITS", key_bits)
+    rng = random.Random(11)
+    for letters, width in ((b"a", 7), (b"ab", 9), (bytes(range(256)), 50), (b"ab\x00\xff", 50)):
+        passage = bytes(rng.choice(letters) for _ in range(150))
+        cuts = [sorted((rng.randrange(150), rng.randrange(150))) for _ in range(25)]
+        strings = [passage[a:b] for a, b in cuts] + [passage, passage, b""]
+        document = np.sort(np.array([rng.randrange(9) for _ in strings]))
+        lengths = np.array([len(s) for s in strings])
+        data, first = np.frombuffer(b"".join(strings), np.uint8), np.append(0, np.cumsum(lengths))
+        index = RunIndex.build(data, first, document, width)
+        rows = sorted((s[at:], i, s[at - 1] + 1 if at else 0) for i, s in enumerate(strings) for at in range(len(s) + 1))
+        runs = [i for i, r in enumerate(rows) if not i or r[2] != rows[i - 1][2]]
+        assert index.run_first.tolist() == runs and index.run_byte.tolist() == [rows[i][2] for i in runs]
+        heads = [r[0][:width] if len(r[0]) >= width else None for r in rows]
+        groups = [i for i, h in enumerate(heads) if h is not None and (not i or h != heads[i - 1])]
+        assert index.group_first.tolist() == groups
+        number, start, least = index.earliest(lengths, width)
+        found = dict(zip(zip(number.tolist(), start.tolist()), least.tolist()))
+        at = {(i, p): s[p : p + width] for i, s in enumerate(strings) for p in range(len(s) - width + 1)}
+        assert found == {k: min(d for s, d in zip(strings, document) if w in s) for k, w in at.items()}
+
+
+def test_a_run_index_takes_less_time_than_eight_argsorts():
+    import time
+
+    draw = np.random.default_rng(6)
+    base, lengths = draw.integers(97, 123, 2_000).astype(np.uint8), draw.integers(50, 81, 4000)
+    data = np.concatenate([base[a : a + n] for a, n in zip(draw.integers(0, 1_900, len(lengths)), lengths)])
+    first = np.append(0, np.cumsum(lengths))
+
+    def least_time(work):
+        took = []
+        for _ in range(3):
+            began = time.thread_time()
+            work()
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    numbers = draw.integers(0, 1 << 62, len(data) + len(lengths))
+    once = least_time(numbers.argsort)
+    assert least_time(lambda: RunIndex.build(data, first, np.arange(len(lengths)), 50)) < 8 * once
