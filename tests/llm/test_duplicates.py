@@ -3,12 +3,13 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from cardwatch.llm import exactdup, linedup, longmatch, neardup, textarrays
+from cardwatch.llm import exactdup, fragments, linedup, longmatch, neardup, textarrays
 from cardwatch.llm.components import components
 from cardwatch.llm.runindex import RunIndex
 from llm_fixtures import DOCS, components as brute_components, cut_repeats, documents, frame, prose, thue_morse
@@ -290,3 +291,68 @@ def test_a_run_index_takes_less_time_than_eight_argsorts():
     numbers = draw.integers(0, 1 << 62, len(data) + len(lengths))
     once = least_time(numbers.argsort)
     assert least_time(lambda: RunIndex.build(data, first, np.arange(len(lengths)), 50)) < 8 * once
+
+
+def test_fragments_cost_no_pass_over_the_keys_each():
+    """Counts of owners are as brute force has them, and 16 384 fragments of a flush take one sort, not a scan per fragment."""
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 2**64, 60_000, dtype=np.uint64)[rng.integers(0, 60_000, 100_000)]
+    owner = rng.integers(0, 50, len(hashes)).astype(np.uint64)
+    began = time.process_time()
+    batches = list(fragments.pack(hashes, owner, 14))
+    assert time.process_time() - began < 3
+    rows, found = pa.Table.from_batches(batches), {}
+    for i in range(0, rows.num_rows, 400):
+        fragment, keys, total, alone = fragments.tally(rows.slice(i, 1))
+        found |= {(fragment << 32) | int(k): int(n) for k, n in zip(keys, total)}
+        want = {}
+        for h, o in zip((hashes >> np.uint64(18)).tolist(), owner.tolist()):
+            if h >> 32 == fragment:
+                want.setdefault(h, set()).add(o)
+        assert {(fragment << 32) | int(k): int(n) for k, n in zip(keys, total)} == {k: len(v) for k, v in want.items()}
+        assert sorted(alone.tolist()) == sorted(min(v) for v in want.values() if len(v) == 1)
+    assert found
+
+
+def test_frequent_keys_are_looked_up_not_sorted():
+    """A slice's keys are compared with a million frequent ones, again and again."""
+    rng = np.random.default_rng(5)
+    known = longmatch.Repeats([], 3, 8)
+    known.hot = np.unique(rng.integers(0, 2**35, 1_000_000).astype(np.uint64))
+    hashes = rng.integers(0, 2**64, 16_000, dtype=np.uint64)
+    hashes[::7] = known.hot[: len(hashes[::7])] << np.uint64(29)
+    began = time.process_time()
+    found = [known.known(hashes)[1] for _ in range(20)]
+    assert time.process_time() - began < 3
+    assert np.array_equal(found[0], np.isin(hashes >> np.uint64(29), known.hot)) and found[0].any()
+
+
+def test_a_task_sends_a_frequent_window_once(monkeypatch):
+    """Its smallest document's place, however many flushes there are; the other places are decided ranges."""
+    monkeypatch.setattr(longmatch, "FLUSH_BYTES", 6_000)
+    line = prose(random.Random(14), 14)
+    texts = [line] * 300
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    monkeypatch.setattr(longmatch, "slices", lambda column: textarrays.slices(column, 2_000))
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    class Known:
+        def known(self, hashes):
+            return np.ones(len(hashes), bool), np.ones(len(hashes), bool)
+
+    sent, decided = [], {}
+    for out in longmatch._dealt(Shared(Known()), Shared(np.zeros(0, np.int64)), 8)(iter([batch])):
+        for row in out.to_pylist():
+            document = np.frombuffer(row["documents"], np.int64)
+            start = np.frombuffer(row["starts"], np.int32)
+            if row["texts"] is None:
+                for d, a, b in zip(document.tolist(), start.tolist(), np.frombuffer(row["lengths"], np.int32).tolist()):
+                    decided.setdefault(d, set()).update(range(a, b))
+            else:
+                sent += [texts[d].encode()[a : a + 50] for d, a in zip(document.tolist(), start.tolist())]
+    common = {line.encode()[i : i + 50] for i in range(len(line.encode()) - 49)}
+    assert len(common) > 1 and all(sent.count(w) == 1 for w in common)
+    assert all(len(decided[d]) >= len(line.encode()) for d in range(1, 300)) and 0 not in decided
