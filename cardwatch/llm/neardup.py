@@ -1,14 +1,16 @@
 """Jaccard self-join of documents on word shingles by vertical partitioning.
 
 The shingles of all documents have one global order: the frequent ones last, the others by
-their hash.  The order is cut into fragments.  Three facts keep the join small and exact, for a
+their hash.  The order is cut into fragments.  Four facts keep the join small and exact, for a
 similarity of ``percent`` hundredths and a document of n distinct shingles:
 
 * A partner shares ceil(percent n / 100) of them.  Fragments count, each by itself, the shingles
   that only one set has; summed per document they rule out most documents (``_singles``).
 * Partners share one of the first n - ceil(percent n / 100) + 1 in the global order.  Those make
   the candidates; sizes and places in the order rule out more.
-* The overlap of a candidate pair is counted fragment by fragment and summed, in one expression on the pair's row: a row per
+* The bits in which two sets' marks differ are at most the shingles that one of them alone has.  A mark is ``MARKS`` words, each the
+  sum modulo 2 of a bit per shingle; pairs whose marks differ in too many bits are no partners, and their sets are not read.
+* The overlap of a pair that is left is counted fragment by fragment and summed, in one expression on the pair's row: a row per
   pair and fragment would give the same sums from four times as many rows.
 
 Equal sets are one node, whatever the number of copies.  Candidates of a shared shingle are not
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardwatch.llm.components import components
-from cardwatch.llm.fragments import PACKED, Packer, tally
+from cardwatch.llm.fragments import PACKED, Packer, among, tally
 from cardwatch.llm.store import written
 from cardwatch.llm.textarrays import LOWER, PrefixHash, Texts, Words, distinct_in_text, mix, shingles, slices
 
@@ -42,6 +44,7 @@ HOT_DOCUMENTS = 48
 FRAGMENT_GRAMS = 1_500_000
 FIRST_PART = 0.3
 SEGMENTS = 4
+MARKS = 8
 LEADERS = (1, 24)
 STAR_STEPS = 2
 LEAST_BITS = 7
@@ -49,6 +52,7 @@ LOOK_BACK = 64
 BROADCAST_NODES = 1_000_000
 
 _SEED = np.uint64(0xD6E8FEB86659FD93)
+_MARKS = [f"mark_{i}" for i in range(MARKS)]
 
 
 def gram_sets(texts: Texts, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,7 +150,7 @@ def _prefixes(k: int, percent: int, bits: int, hot: np.ndarray):
                 bounds, grams, node = gram_sets(texts, k)
                 size = np.diff(bounds)
                 text = np.repeat(np.arange(len(texts)), size)
-                order = np.lexsort((grams, np.isin(grams >> down, hot), text))
+                order = np.lexsort((grams, among(grams >> down, hot), text))
                 place = np.arange(len(grams)) - bounds[text]
                 keep = place < (size - shared_at_least(size, percent) + 1)[text]
                 yield pa.RecordBatch.from_arrays(
@@ -157,19 +161,32 @@ def _prefixes(k: int, percent: int, bits: int, hot: np.ndarray):
     return apply
 
 
+def set_marks(text: np.ndarray, grams: np.ndarray, texts: int) -> np.ndarray:
+    """``MARKS`` words per text, of shingles in order: a word is of one part of the hash order, a shingle turns one of its bits."""
+    part = text * MARKS + (grams >> np.uint64(64 - MARKS.bit_length() + 1)).astype(np.int64)
+    marks = np.zeros(texts * MARKS, np.uint64)
+    if len(part):
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        marks[part[first]] = np.bitwise_xor.reduceat(np.uint64(1) << (grams & np.uint64(63)), first)
+    return marks.reshape(texts, MARKS)
+
+
 def _segments(k: int):
-    """Every set with its shingles cut into ``SEGMENTS`` fragments of the hash order."""
+    """Every set with its marks, and with its shingles cut into ``SEGMENTS`` fragments of the hash order."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column("text")):
                 bounds, grams, node = gram_sets(texts, k)
                 text = np.repeat(np.arange(len(texts)), np.diff(bounds))
+                marks = set_marks(text, grams, len(texts)).view(np.int64)
                 piece = text * SEGMENTS + (grams >> np.uint64(64 - SEGMENTS.bit_length() + 1)).astype(np.int64)
                 ends = np.searchsorted(piece, np.arange(len(texts) * SEGMENTS + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(grams.view(np.int64)))
                 whole = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * SEGMENTS), lists)
-                yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), whole], ["node", "fragments"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node.view(np.int64)), *(pa.array(np.ascontiguousarray(m)) for m in marks.T), whole],
+                    ["node", *_MARKS, "fragments"])
 
     return apply
 
@@ -181,8 +198,17 @@ def _fit(a: str, b: str, percent: int):
     return (left * 100 >= percent * (na + nb - left)) & (F.least(na, nb) * 100 >= percent * F.greatest(na, nb))
 
 
+def _close(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, n_a, b, n_b) whose marks leave room for enough overlap."""
+    for side in "ba":
+        pairs = pairs.join(segments.select(F.col("node").alias(side), *(F.col(m).alias(f"{m}_{side}") for m in _MARKS)), side)
+    differ = sum((F.bit_count(F.col(f"{m}_a").bitwiseXOR(F.col(f"{m}_b"))) for m in _MARKS), F.lit(0))
+    return pairs.filter(differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b", "n_a", "n_b")
+
+
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Links among candidate pairs (a, n_a, b, n_b): overlaps fragment by fragment, summed per pair."""
+    pairs = written(_close(pairs, segments, percent), "close-pairs")
     theirs = segments.select(F.col("node").alias("b"), F.col("fragments").alias("fragments_b"))
     mine = segments.select(F.col("node").alias("a"), F.col("fragments").alias("fragments_a"))
     partial = F.zip_with("fragments_a", "fragments_b", lambda x, y: F.size(F.array_intersect(x, y)).cast("long"))
@@ -279,7 +305,7 @@ def components_of(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     members = written(rows.join(several, "gram", "left_semi"), "prefix-members")
     compared = members.select("node").distinct()
     segments = written(
-        texts.mapInArrow(_segments(k), "node long, fragments array<array<long>>")
+        texts.mapInArrow(_segments(k), f"node long, {', '.join(f'{m} long' for m in _MARKS)}, fragments array<array<long>>")
         .join(compared, "node", "left_semi"), "segments")
     labels = _link(members, segments, percent)
     placed = sets.filter("n > 0").join(labels, "node", "left").select("doc_id", "n", F.coalesce("label", "node").alias("label"))

@@ -327,6 +327,39 @@ def test_frequent_keys_are_looked_up_not_sorted():
     assert np.array_equal(found[0], np.isin(hashes >> np.uint64(29), known.hot)) and found[0].any()
 
 
+def test_marks_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 40, 3_000):
+        pool = np.unique(rng.integers(0, 2**64, n + 300, dtype=np.uint64))
+        one, two = (np.sort(rng.choice(pool, n, replace=False)) for _ in range(2))
+        text = np.repeat([0, 2], [n, n])
+        marks = neardup.set_marks(text, np.append(one, two), 3)
+        assert not marks[1].any() and np.bitwise_count(marks[0] ^ marks[2]).sum() <= len(np.setxor1d(one, two))
+
+
+def test_unlike_pairs_of_common_shingles_are_ruled_out_by_their_marks(spark, monkeypatch):
+    """Texts that share a rare run but little else are candidates; their sets are not compared."""
+    close, write = [], neardup.written
+
+    def watched(rows, label, *rest):
+        found = write(rows, label, *rest)
+        if label == "close-pairs":
+            close.extend((r.a, r.b) for r in found.collect())
+        return found
+
+    monkeypatch.setattr(neardup, "written", watched)
+    rng = random.Random(13)
+    shared = prose(rng, 60).split()
+    rows = []
+    for i in range(12):
+        own = [f"w{i}x{j}" for j in range(40)]
+        for edit in ("", "changed"):  # each has a near copy, so each is possible
+            rows.append((len(rows), " ".join([*own, *shared, *own[:20], edit]), None, None, None, None, 0, 0, 0, 0, 0))
+    got = neardup.components_of(frame(spark, rows), 4, 85)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows, 4, 85)
+    assert 12 <= len(set(close)) <= 20  # of 276
+
+
 def test_a_task_sends_a_frequent_window_once(monkeypatch):
     """Its smallest document's place, however many flushes there are; the other places are decided ranges."""
     monkeypatch.setattr(longmatch, "FLUSH_BYTES", 6_000)
